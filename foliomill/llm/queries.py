@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import bpe, lookalikes, repetition, splitting
+from . import bpe, lookalikes, packing, repetition, splitting, truncation
 
 
 def _q(fn: Callable[..., DataFrame], *tables: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -38,4 +38,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p5_found": _q(lookalikes.p5_found, "chunks", "toc_tree"),
         "p5_text": _q(lookalikes.p5_text, "chunks", "toc_tree"),
         "p6_ids": _q(bpe.p6_ids, "documents"),
+        "p7_containers": _q(packing.p7_containers, "documents"),
+        "p7_fill": _q(packing.p7_fill, "documents"),
+        "p8_found": _q(truncation.p8_found, "documents"),
+        "p8_sources": _q(truncation.p8_sources, "documents"),
     }
