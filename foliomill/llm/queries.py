@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import bpe, lookalikes, packing, repetition, splitting, truncation
+from . import bpe, lookalikes, markup, packing, repetition, splitting, truncation
 
 
 def _q(fn: Callable[..., DataFrame], *tables: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -33,6 +33,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p1_shares": _q(p1_shares, "chunks"),
         "p1_thresholds": _q(p1_thresholds, "chunks"),
         "p1_unusual": _q(p1_unusual, "chunks"),
+        "p2_found": _q(markup.p2_found, "chunks", "content_list"),
+        "p2_text": _q(markup.p2_text, "chunks", "content_list"),
         "p3_found": _q(splitting.p3_found, "chunks"),
         "p3_pieces": _q(splitting.p3_pieces, "chunks"),
         "p5_found": _q(lookalikes.p5_found, "chunks", "toc_tree"),
