@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import bpe, lookalikes, markup, packing, repetition, splitting, truncation
+from . import bpe, lookalikes, markup, packing, repetition, scans, splitting, truncation
 
 
 def _q(fn: Callable[..., DataFrame], *tables: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -37,6 +37,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p2_text": _q(markup.p2_text, "chunks", "content_list"),
         "p3_found": _q(splitting.p3_found, "chunks"),
         "p3_pieces": _q(splitting.p3_pieces, "chunks"),
+        "p4_found": _q(scans.p4_found, "chunks", "vlm_eval", "packages"),
+        "p4_text": _q(scans.p4_text, "chunks", "vlm_eval", "packages"),
         "p5_found": _q(lookalikes.p5_found, "chunks", "toc_tree"),
         "p5_text": _q(lookalikes.p5_text, "chunks", "toc_tree"),
         "p6_ids": _q(bpe.p6_ids, "documents"),
