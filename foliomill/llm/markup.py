@@ -30,10 +30,10 @@ from pyspark.sql import functions as F
 from .boosting import Boosted
 from .textio import keyed, map_slices, once
 
-SAMPLE_TEXTS = 3000
+SAMPLE_TEXTS = 6000
 SEED = 20
 #: Rounds and depth of the trees.
-ROUNDS, DEPTH = 40, 4
+ROUNDS, DEPTH = 50, 5
 
 _GATE = re.compile(r"[<&*#`\[{\\$|~_]|^[ \t]*>|^==|''|^-{3,}[ \t]*$", re.M)
 _NODE = re.compile(
@@ -365,7 +365,18 @@ def sample(texts: int = SAMPLE_TEXTS, seed: int = SEED) -> tuple[np.ndarray, np.
         script = r.choice([0, 0, 1, 2, 2, 2])
         parts: list[tuple[str, bool]] = []
         rate, decoys = r.choice([(0, 1), (0.3, 0.1), (0.15, 0.25), (0.5, 0.0), (0.05, 0.5)])
-        for _ in range(r.randint(1, 6)):
+        if r.random() < 0.55:  # one sign in a plain text
+            sign = r.choice([_block, _block, _inline, _inline, _plain, _furniture])
+            lone = sign in (_block, _furniture)
+            if r.random() < 0.8:
+                parts.append((_phrase(r, script) + ("\n" * r.randint(1, 2) if lone else r.choice([" ", ""])), False))
+            parts.append((sign(r, script), sign in (_block, _inline)))
+            if r.random() < 0.8:
+                parts.append((("\n" * r.randint(1, 2) if lone else r.choice([" ", "", ", "])) + _phrase(r, script), False))
+            rows_of = 0
+        else:
+            rows_of = r.randint(1, 5)
+        for _ in range(rows_of):
             if parts:
                 parts.append((r.choice(["\n", "\n\n"]), False))
             draw = r.random()

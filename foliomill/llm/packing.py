@@ -54,14 +54,15 @@ def pack(sizes: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.nd
         if s <= 0:
             bins[k] = -1
             continue
-        if count[s]:
-            h = s  # a perfect fit takes a container out of the sum and adds none
-        else:
-            # change by gap h = s + 1 ... capacity - 1, halved and without its constant
-            part = np.where(count[s + 1 : capacity] > 0, count[1 : capacity - s] - count[s + 1 : capacity], far) if s < capacity else np.zeros(0, np.int64)
-            i = int(part.argmin()) if len(part) else -1
-            fresh = 2 * count[capacity - s] + 1 if s < capacity else 0
-            h = s + 1 + i if i >= 0 and part[i] < far and 2 * part[i] + 2 <= fresh else capacity
+        h = capacity
+        if s < capacity:
+            # Change of the sum by gap h = s ... capacity - 1; a container filled to the brim leaves the sum.
+            change = 2 * (count[: capacity - s] - count[s:capacity]) + 2
+            change[0] = 1 - 2 * count[s]
+            change[count[s:capacity] == 0] = far
+            i = int(change.argmin())
+            if change[i] < far and change[i] <= 2 * count[capacity - s] + 1:
+                h = s + i
         if h == capacity:
             b = len(gaps)
             gaps.append(capacity)
