@@ -113,18 +113,19 @@ _MARKS = "̀-ͯ᪰-᫿⃐-⃰҃-゙゚҇"
 
 
 @lru_cache(1)
-def _machine() -> tuple[re.Pattern, regex.Pattern, re.Pattern, re.Pattern]:
+def _machine() -> tuple:
     single = _class(mapping())
     letter = _LATIN + _CYRILLIC + _GREEK
-    # What may need work: any mapped character, any accent on its own, two scripts side by side.
-    gate = re.compile(f"[{single}{_MARKS}]|[{_LATIN}][{_CYRILLIC}{_GREEK}]|[{_CYRILLIC}][{_LATIN}{_GREEK}]|[{_GREEK}][{_LATIN}{_CYRILLIC}]")
+    # What may need work: any mapped character, any accent on its own; two scripts side by side.
+    gate = re.compile(f"[{single}{_MARKS}]")
+    mixed = re.compile(f"[{_LATIN}][{_CYRILLIC}{_GREEK}]|[{_CYRILLIC}][{_LATIN}{_GREEK}]|[{_GREEK}][{_LATIN}{_CYRILLIC}]")
     # A cluster is a character with its accents; a word is a run of letter clusters, with what is invisible inside it.
     hidden = _class(k for k, v in mapping().items() if v == "")
     wide = _class(k for k, v in mapping().items() if v and v[0].isalnum() and unicodedata.normalize("NFD", v[0])[0].isascii())
     word = f"[{letter}{wide}0-9](?:[{_MARKS}{hidden}]*[{letter}{wide}0-9])*[{_MARKS}{hidden}]*"
     whole = regex.compile(f"{word}|.[{_MARKS}]+|[{single}{_MARKS}]", regex.DOTALL)
     cyr, gre = re.compile(f"[{_CYRILLIC}]"), re.compile(f"[{_GREEK}]")
-    return gate, whole, cyr, gre
+    return gate, whole, cyr, gre, re.compile(f"[{_CYRILLIC}{_GREEK}]"), mixed
 
 
 _BACK_CYRILLIC = {b: a for a, b in LATIN_CYRILLIC.items() if a not in "ѕһԁԛԝіјЅІЈЬ"}
@@ -133,7 +134,7 @@ _HAS_LATIN = re.compile(f"[{_LATIN}]")
 
 def _one_script(word: str) -> str:
     """Letters of another script to those of the word's own, which most of its unmistakable letters show."""
-    _, _, cyr, gre = _machine()
+    _, _, cyr, gre, _, _ = _machine()
     latin, other = len(_HAS_LATIN.findall(word)), len(cyr.findall(word))
     if gre.search(word) and latin + other > 0:
         greek = sum(1 for c in word if gre.match(c))
@@ -161,8 +162,12 @@ def _cluster(m) -> str:
 
 def unify(text: str | None) -> str | None:
     """The consistent form of a text."""
-    gate, whole, _, _ = _machine()
-    return whole.sub(_cluster, text) if text and gate.search(text) else text
+    if not text or text.isascii() and "\t" not in text:
+        return text
+    gate, whole, _, _, other, mixed = _machine()
+    if gate.search(text) or other.search(text) and mixed.search(text):
+        return whole.sub(_cluster, text)
+    return text
 
 
 def unify_all(texts: list[str | None]) -> list[str | None]:
