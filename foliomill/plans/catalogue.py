@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import anchors, checks, chunking, grids, pages, records, search, sequences, toc
+from ..operators import anchors, checks, chunking, cleaning, grids, pages, patches, records, search, sequences, toc, words
 from ..runtime import table
 from . import relational, views
 
@@ -623,3 +623,75 @@ def _(s, d):
     """Packages whose bulletins point at each other in a circle, by the package that each document names next."""
     e = table(s, d, "documents").where("package_id IS NOT NULL").select(F.col("package_id").alias("src"), F.concat(F.lit("pk"), F.lpad(F.pmod(F.xxhash64("package_id"), F.lit(40)).cast("string"), 7, "0")).alias("dst"))
     return records.cycles(e)
+
+
+# --- cleaning, links, patches, words ---
+
+
+@query("c10_c11_clean_markdown")
+def _(s, d):
+    """Chunks cleaned for embedding: images, tables, headings and inline marks to plain text."""
+    return table(s, d, "chunks").where("content IS NOT NULL").select("id", "content").distinct().select("id", cleaning.clean_markdown("content").alias("text"))
+
+
+_HINT_CASE = "CASE " + " ".join(f"WHEN contains(lower(src), '{k}') THEN '{v}'" for k, v in cleaning.HINTS.items()) + " END"
+
+
+@query("c11_image_hints", f"SELECT item_id, '[示意图' || coalesce('：' || {_HINT_CASE}, '') || ']' AS label FROM (SELECT item_id, split_part(img_path, '/', -1) AS src FROM content_list WHERE img_path IS NOT NULL AND img_path <> '' AND NOT contains(img_path, ')'))")
+def _(s, d):
+    i = table(s, d, "content_list").where("img_path IS NOT NULL AND img_path <> '' AND NOT contains(img_path, ')')")
+    return i.select("item_id", cleaning.image_labels(F.concat(F.lit("![]("), "img_path", F.lit(")"))).alias("label"))
+
+
+@query("g16_json_texts", "SELECT vlm_id, list_filter(coalesce(key_text, []), lambda t: t IS NOT NULL) AS texts FROM vlm_eval")
+def _(s, d):
+    """Key texts written as nested JSON elements and walked back out of it."""
+    v = table(s, d, "vlm_eval").select("vlm_id", F.filter(F.coalesce("key_text", F.array().cast("array<string>")), lambda t: t.isNotNull()).alias("k"))
+    j = v.select("vlm_id", F.to_json(F.struct(F.transform("k", lambda t: F.struct(F.lit("text").alias("type"), t.alias("content"))).alias("page"))).alias("j"))
+    return cleaning.json_texts(j, ["vlm_id"], "j")
+
+
+_LINK = r"\[([^\]\n]*)\]\(([^)\s]+)\)"
+
+
+@query("k4_links", f"WITH {_MD}, x AS (SELECT package_id, place, unnest(regexp_extract_all(line, '(?:^|[^!]){_LINK}', 1)) AS label, unnest(regexp_extract_all(line, '(?:^|[^!]){_LINK}', 2)) AS target FROM l) SELECT package_id, place, label, target, CASE WHEN starts_with(target, '#') THEN 'anchor' WHEN regexp_matches(target, '^[a-z][a-z0-9+.-]*:') THEN 'external' ELSE 'path' END AS kind FROM x")
+def _(s, d):
+    return cleaning.links(views.markdown_lines(s, d), ["package_id"])
+
+
+@query("i15_apply_fixes")
+def _(s, d):
+    """Every heading of a page block written larger by a correction, in order, in the blocks that hold it."""
+    b = anchors.blocks(views.markdown_lines(s, d), ["package_id"])
+    f = b.where(F.col("text").contains("## ")).select("package_id", F.col("page_first").alias("page"), F.col("block_no").alias("ord"), F.lit("## ").alias("before"), F.lit("# ").alias("after"), F.lit(None).cast("int").alias("expected"))
+    return patches.apply_fixes(b, f, ["package_id"]).select("package_id", "block_no", "applied", "refused", F.sha2("text", 256).alias("digest"))
+
+
+@query("d16_d17_candidates")
+def _(s, d):
+    """Table pages with signals: every table with its page, its signals and its type."""
+    t = table(s, d, "content_list").where("table_body IS NOT NULL AND page_idx IS NOT NULL")
+    p = t.select("package_id", (F.col("page_idx") + 1).alias("page"), "table_body", F.array_compact(F.array(F.when(pages.empty_cells("table_body") > 2, "excessive_empty_td"), F.when(pages.widest_row("table_body") > 4, "excessive_columns"), F.when(F.octet_length("table_body") > 800, "volume_inflation"))).alias("signals"))
+    return patches.candidates(p, "package_id", "page", "signals", "table_body")
+
+
+@query("d21_parents", rf"SELECT id, p[-1] AS parent FROM (SELECT DISTINCT id, page, list_filter(list_transform(regexp_split_to_array(section, '[/>→]'), lambda x: {_STRIP.format('x')}), lambda x: x <> '') p FROM chunks WHERE section IS NOT NULL) WHERE len(p) >= 2 AND trim(coalesce(page, '')) <> '' AND NOT list_contains(p, trim(coalesce(page, ''), ' '))")
+def _(s, d):
+    c = table(s, d, "chunks").where("section IS NOT NULL").select("id", "page", "section").distinct()
+    return c.select("id", patches.parent_suggestion(T.path_parts("section"), F.col("page"), F.lit("")).alias("parent")).where("parent IS NOT NULL")
+
+
+@query("f13_visual_lines", "SELECT vlm_id, len(k) AS lines, len(k) AS words FROM (SELECT vlm_id, list_filter(coalesce(key_text, []), lambda t: coalesce(trim(t, ' '), '') <> '' AND NOT regexp_matches(trim(t, ' '), '^\\d+$')) k FROM vlm_eval)")
+def _(s, d):
+    """Key texts laid out one below the other come back as one visual line each."""
+    w = F.transform(F.coalesce("key_text", F.array().cast("array<string>")), lambda t, i: F.struct(F.lit(10.0).alias("x0"), (i * 20.0).alias("y0"), F.lit(90.0).alias("x1"), (i * 20.0 + 12).alias("y1"), F.coalesce(t, F.lit("")).alias("text")))
+    v = table(s, d, "vlm_eval").select("vlm_id", words.visual_lines(w, F.lit(10000.0)).alias("lines"))
+    return v.select("vlm_id", F.size("lines").alias("lines"), F.size(F.flatten("lines")).alias("words"))
+
+
+@query("g18_table_omissions")
+def _(s, d):
+    """First-column texts that a table lacks: each table against its own words with two more on its first row."""
+    t = table(s, d, "content_list").where("table_body IS NOT NULL").select("item_id", "table_body")
+    w = F.array(*[F.struct(F.lit(x).alias("x0"), F.lit(100.0).alias("y0"), F.lit(x + 30).alias("x1"), F.lit(110.0).alias("y1"), v.alias("text")) for x, v in ((20.0, F.lit("Lost label")), (300.0, F.regexp_extract("table_body", r"(?i)<t[dh][^>]*>([^<]+)<", 1)))])
+    return words.table_omissions(t.select("item_id", "table_body", w.alias("words"), F.lit(600.0).alias("width"), F.lit(800.0).alias("height")), ["item_id"], "table_body", "words", "width", "height")
