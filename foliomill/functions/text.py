@@ -159,7 +159,7 @@ def path_parts(c: Column | str) -> Column:
 def snippet(text: Column | str, terms: list[str], around: int = 80) -> Column:
     """The first hit of any term with what stands around it, white space squeezed; '' without a hit."""
     t = _col(text)
-    at = F.least(*[F.nullif(F.locate(x.lower(), F.lower(t)), F.lit(0)) for x in terms], F.lit(2**31 - 1))
+    at = F.least(*[F.nullif(F.locate(x.lower(), F.lower(t)), F.lit(0)) for x in terms], F.lit(2**31 - 1), F.lit(2**31 - 1))
     start = F.greatest(at - around, F.lit(1))
     stop = at + around
     body = F.substring(t, start, stop - start)
