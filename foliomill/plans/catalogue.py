@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import anchors, checks, chunking, cleaning, grids, pages, patches, records, search, sequences, toc, words
+from ..operators import anchors, checks, chunking, cleaning, grids, lookup, pages, patches, records, search, sequences, toc, words
 from ..runtime import table
 from . import relational, views
 
@@ -695,3 +695,33 @@ def _(s, d):
     t = table(s, d, "content_list").where("table_body IS NOT NULL").select("item_id", "table_body")
     w = F.array(*[F.struct(F.lit(x).alias("x0"), F.lit(100.0).alias("y0"), F.lit(x + 30).alias("x1"), F.lit(110.0).alias("y1"), v.alias("text")) for x, v in ((20.0, F.lit("Lost label")), (300.0, F.regexp_extract("table_body", r"(?i)<t[dh][^>]*>([^<]+)<", 1)))])
     return words.table_omissions(t.select("item_id", "table_body", w.alias("words"), F.lit(600.0).alias("width"), F.lit(800.0).alias("height")), ["item_id"], "table_body", "words", "width", "height")
+
+
+@query(
+    "e22_exact_pages",
+    f"""WITH {_PAGES}, {_PATH}, r AS (SELECT package_id, ord, regexp_extract(title, '([A-Z]\\d+[A-Z])', 1) AS key, page, coalesce(page, 0) + 3 AS page_last, title FROM pa),
+q AS (SELECT r.package_id, r.ord, p.page, (r.page IS NOT NULL AND p.page BETWEEN r.page AND r.page_last) AS scoped, len(list_filter(list_distinct(regexp_split_to_array(r.title, '\\s+')), lambda w: w <> '' AND contains(p.text, w))) AS score
+  FROM r JOIN p ON p.package_id = r.package_id AND contains(p.text, r.key) WHERE r.key <> ''),
+z AS (SELECT *, row_number() OVER (PARTITION BY package_id, ord ORDER BY scoped DESC, score DESC, page) k FROM q)
+SELECT package_id || ':' || ord AS entry, page, scoped FROM z WHERE k = 1""",
+)
+def _(s, d):
+    """The page on which the part number of each title stands, near the title's own page if it does there."""
+    e = views.toc_entries(s, d)
+    r = e.select("package_id", F.concat("package_id", F.lit(":"), F.col("ord").cast("string")).alias("entry"), F.regexp_extract("title", r"([A-Z]\d+[A-Z])", 1).alias("key"), F.col("page").alias("page_first"), (F.col("page") + 3).alias("page_last"), F.col("title").alias("evidence"))
+    return lookup.exact_pages(r, views.page_texts(s, d), ["package_id"], "entry")
+
+
+@query("e20_physical_pages")
+def _(s, d):
+    """Entries of which every second one lost its page, put back on the pages of the printed table."""
+    t = table(s, d, "toc_tree")
+    listed = t.select("package_id", F.col("toc_page").alias("page"), "title")
+    e = t.groupBy("package_id", "ord").agg(F.min(F.struct("title", "toc_page")).alias("x")).select("package_id", "ord", "x.title", F.when(F.col("ord") % 2 == 0, F.col("x.toc_page")).alias("toc_page"))
+    return lookup.physical_pages(e, listed, ["package_id"])
+
+
+@query("h20_title_recall", f"WITH {_PAGES}, {_TOC}, t AS (SELECT DISTINCT package_id, title FROM e WHERE title <> ''), y AS (SELECT DISTINCT package_id, toc_page AS page FROM toc_tree WHERE toc_page IS NOT NULL) SELECT package_id, page, count(*) FILTER (contains(p.text, t.title)) AS found, count(*) AS titles, round(count(*) FILTER (contains(p.text, t.title)) / count(*), 4) AS recall FROM p JOIN y USING (package_id, page) JOIN t USING (package_id) GROUP BY ALL")
+def _(s, d):
+    p = views.page_texts(s, d).join(table(s, d, "toc_tree").where("toc_page IS NOT NULL").select("package_id", F.col("toc_page").alias("page")).distinct(), ["package_id", "page"])
+    return lookup.title_recall(views.toc_entries(s, d), p, ["package_id"])

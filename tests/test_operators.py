@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from foliomill.functions import text as T
-from foliomill.operators import anchors, checks, chunking, cleaning, grids, pages, patches, records, search, sequences, toc, words
+from foliomill.operators import anchors, checks, chunking, cleaning, grids, lookup, pages, patches, records, search, sequences, toc, words
 
 
 def one(spark, expr, **values):
@@ -234,3 +234,27 @@ def test_cleaning(spark):
     assert one(spark, cleaning.clean_markdown("t"), t=("string", md)) == "T\n[示意图：刹车] and [示意图：Alt] b l x & k：v"
     df = spark.createDataFrame([(1, '{"a":[{"type":"text","content":"x","sub":{"html":"<p>"}}]}'), (2, "{bad"), (3, None)], "id int, j string")
     assert {r.id: r.texts for r in cleaning.json_texts(df, ["id"], "j").collect()} == {1: ["x", "<p>"], 2: [], 3: []}
+
+
+def test_physical_pages_in_blocks(spark, monkeypatch):
+    r = random.Random(4)
+    titles = [r.choice("ABCDEFGH") for _ in range(60)]
+    listed = [("p", r.randint(1, 5), t) for t in "ABCDEFGH" for _ in range(r.randint(0, 3))] + [("q", 2, "A")]
+    own = [r.choice([None, None, 3]) for _ in titles]
+    e = spark.createDataFrame([("p", k, t, o) for k, (t, o) in enumerate(zip(titles, own))] + [("z", 0, "A", None), ("q", 0, "A", None)], "k string, ord int, title string, toc_page int")
+    li = spark.createDataFrame(listed, "k string, page int, title string")
+    hits = {t: sorted({p for k, p, x in listed if k == "p" and x == t}) for t in "ABCDEFGH"}
+    want, last = [], 0
+    for t, o in zip(titles, own):
+        page, last = lookup._take(hits[t], o, last)
+        want.append(page)
+    monkeypatch.setattr(lookup, "ENTRY_BLOCK", 7)
+    got = {(x.k, x.ord): x.page for x in lookup.physical_pages(e, li, ["k"]).collect()}
+    assert [got["p", k] for k in range(60)] == want and got["z", 0] is None and got["q", 0] == 2
+
+
+def test_exact_pages(spark):
+    p = spark.createDataFrame([("p", 1, "brake fluid DOT"), ("p", 2, "brake fluid and oil"), ("p", 5, "brake"), ("p", 6, None)], "k string, page int, text string")
+    rows = spark.createDataFrame([("p", "a", "brake", 5, 6, "x"), ("p", "b", "fluid", 5, 6, "fluid oil"), ("p", "c", "none", 1, 2, ""), ("p", "d", None, 1, 2, ""), ("p", "e", "brake", 1, 2, None)], "k string, r string, key string, page_first int, page_last int, evidence string")
+    got = {x.r: (x.page, x.scoped) for x in lookup.exact_pages(rows, p, ["k"], "r").collect()}
+    assert got == {"a": (5, True), "b": (2, False), "e": (1, True)}
