@@ -177,8 +177,8 @@ def pages_listed(c: Column | str) -> Column:
 def page_range(c: Column | str) -> Column:
     """struct(first, last) of '12', '12-14' or '14-12', with or without a prefix; nulls where no number stands."""
     p = _col(c)
-    a = F.nullif(F.regexp_extract(p, r"(\d+)", 1), F.lit("")).cast("int")
-    b = F.coalesce(F.nullif(F.regexp_extract(p, r"\d+\s*[-–—]\s*(\d+)", 1), F.lit("")).cast("int"), a)
+    a = F.nullif(F.regexp_extract(p, r"(\d+)", 1), F.lit("")).try_cast("int")
+    b = F.coalesce(F.nullif(F.regexp_extract(p, r"\d+\s*[-–—]\s*(\d+)", 1), F.lit("")).try_cast("int"), a)
     return F.struct(F.least(a, b).alias("first"), F.greatest(a, b).alias("last"))
 
 

@@ -29,8 +29,8 @@ def lines(df: DataFrame, keys: list[str], text: str, part: Column | None = None)
     ``part`` numbers the parts of a document that come as several rows.
     """
     split = df.select(*keys, (part if part is not None else F.lit(0)).cast("long").alias("__part"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("__i", "line"))
-    a = F.nullif(F.regexp_extract("line", ANCHOR, 1), F.lit("")).cast("int")
-    z = F.nullif(F.regexp_extract("line", ANCHOR, 2), F.lit("")).cast("int")
+    a = F.nullif(F.regexp_extract("line", ANCHOR, 1), F.lit("")).try_cast("int")
+    z = F.nullif(F.regexp_extract("line", ANCHOR, 2), F.lit("")).try_cast("int")
     level = F.nullif(F.length(F.regexp_extract("line", HEADING, 1)), F.lit(0))
     title = F.when(level.isNotNull(), T.strip(F.regexp_extract("line", HEADING, 2)))
     return split.select(*keys, (F.col("__part") * PART_LINES + F.col("__i")).alias("place"), "line", a.alias("anchor_first"), z.alias("anchor_last"), level.alias("level"), title.alias("title"))

@@ -123,4 +123,4 @@ def dotted_entries(text_lines: DataFrame, keys: list[str]) -> DataFrame:
     one = F.col("__l").rlike(full) & ~F.col("__l").rlike(foot)
     two = F.col("__l").rlike(foot) & (F.coalesce("__pending", F.lit("")) != "")
     got = r.where(one | two)
-    return got.select(*keys, "place", F.when(one, F.regexp_extract("__l", full, 1)).otherwise(F.col("__pending")).alias("title"), F.when(one, F.regexp_extract("__l", full, 2)).otherwise(F.regexp_extract("__l", foot, 1)).cast("int").alias("page"))
+    return got.select(*keys, "place", F.when(one, F.regexp_extract("__l", full, 1)).otherwise(F.col("__pending")).alias("title"), F.when(one, F.regexp_extract("__l", full, 2)).otherwise(F.regexp_extract("__l", foot, 1)).try_cast("int").alias("page"))

@@ -544,7 +544,7 @@ def _(s, d):
 def _(s, d):
     name = r"^p(\d{4,})-(\d{4,})$"
     c = table(s, d, "content_list").where(F.col("segment").rlike(name)).select("package_id", "segment").distinct()
-    return c.select("package_id", "segment", F.regexp_extract("segment", name, 1).cast("int").alias("start_page"), F.regexp_extract("segment", name, 2).cast("int").alias("end_page"))
+    return c.select("package_id", "segment", F.regexp_extract("segment", name, 1).try_cast("int").alias("start_page"), F.regexp_extract("segment", name, 2).try_cast("int").alias("end_page"))
 
 
 @query("i1_i2_identity", "SELECT item_id, h AS row_hash, sha256(coalesce(package_id, '') || '|' || coalesce(segment, '') || '|' || coalesce(CAST(page_idx AS VARCHAR), '') || '|' || h) AS record_id FROM (SELECT *, sha256(coalesce(type, '') || '|' || coalesce(text, '') || '|' || coalesce(table_body, '') || '|' || coalesce(img_path, '')) h FROM content_list)")

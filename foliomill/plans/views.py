@@ -14,7 +14,7 @@ def chunk_rows(spark: SparkSession, d: str) -> DataFrame:
     """Chunks once by id, with seq and page_first, page_last."""
     c = table(spark, d, "chunks").dropDuplicates(["id"])
     r = T.page_range("page")
-    return c.withColumn("seq", F.regexp_extract("id", r"_(\d+)$", 1).cast("int")).withColumn("page_first", r["first"]).withColumn("page_last", r["last"])
+    return c.withColumn("seq", F.regexp_extract("id", r"_(\d+)$", 1).try_cast("int")).withColumn("page_first", r["first"]).withColumn("page_last", r["last"])
 
 
 def markdown_parts(spark: SparkSession, d: str) -> DataFrame:

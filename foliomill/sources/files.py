@@ -81,7 +81,7 @@ def read_segments(spark: SparkSession, package: str) -> DataFrame:
     """(start_page, end_page, path, text): of each folder pNNNN-MMMM below segments the first Markdown file by path."""
     files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.md").text(f"{package}/segments", wholetext=True)
     f = files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")).where(F.col("path").rlike(SEGMENT))
-    f = f.select(F.regexp_extract("path", SEGMENT, 1).cast("int").alias("start_page"), F.regexp_extract("path", SEGMENT, 2).cast("int").alias("end_page"), "path", "text")
+    f = f.select(F.regexp_extract("path", SEGMENT, 1).try_cast("int").alias("start_page"), F.regexp_extract("path", SEGMENT, 2).try_cast("int").alias("end_page"), "path", "text")
     first = f.groupBy("start_page", "end_page").agg(F.min(F.struct("path", "text")).alias("x"))
     return first.select("start_page", "end_page", "x.path", "x.text")
 
@@ -90,7 +90,7 @@ def read_content_lists(spark: SparkSession, package: str) -> DataFrame:
     """(start_page, end_page, item_no, type, page_idx, text, table_body, img_path) of the first-format content lists of all segments."""
     raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*content_list.json").text(f"{package}/segments", wholetext=True)
     raw = raw.select(F.col("_metadata.file_path").alias("path"), F.from_json("value", CONTENT_LIST).alias("items")).where(F.col("path").rlike(SEGMENT) & ~F.col("path").contains("_v2"))
-    return raw.select(F.regexp_extract("path", SEGMENT, 1).cast("int").alias("start_page"), F.regexp_extract("path", SEGMENT, 2).cast("int").alias("end_page"), F.posexplode("items").alias("item_no", "i")).select("start_page", "end_page", "item_no", "i.*")
+    return raw.select(F.regexp_extract("path", SEGMENT, 1).try_cast("int").alias("start_page"), F.regexp_extract("path", SEGMENT, 2).try_cast("int").alias("end_page"), F.posexplode("items").alias("item_no", "i")).select("start_page", "end_page", "item_no", "i.*")
 
 
 def file_digests(spark: SparkSession, path: str) -> DataFrame:

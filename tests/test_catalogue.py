@@ -65,3 +65,17 @@ def nothing(spark, tmp_path_factory):
 @pytest.mark.parametrize("name", [n for n in sorted(QUERIES) if n not in ("r_rollup", "r_cube")])
 def test_query_on_empty_tables(spark, nothing, name):
     assert QUERIES[name](spark, nothing).count() == 0
+
+
+@pytest.fixture(scope="module")
+def dirty(spark, tmp_path_factory):
+    from dirty import write
+
+    d = str(tmp_path_factory.mktemp("dirty"))
+    write(spark, SF, [os.path.basename(p)[:-8] for p in glob.glob(f"{SF}/*.parquet")], d)
+    return d
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_on_dirty_tables(spark, dirty, name):
+    QUERIES[name](spark, dirty).write.format("noop").mode("overwrite").save()
