@@ -251,13 +251,17 @@ def judged(documents: DataFrame) -> DataFrame:
     lim = limits(read)
     char_lim = lim.where("unit = 'chars'").select(F.col("source").alias("cs"), F.col("length").alias("cl")).distinct()
     byte_lim = lim.where("unit = 'bytes'").select(F.col("source").alias("bs"), F.explode(F.sequence(F.col("length") - 3, F.col("length"))).alias("bl")).distinct()
-    out = read.join(char_lim, F.col("source").eqNullSafe(F.col("cs")) & (F.col("chars") == F.col("cl")), "left")
+    # Most texts are settled by their own end; only the others, one row each, meet the counts.
+    open_ended = (F.col("state") != "blank") & (~F.col("ended") | (F.col("state") == "decimal"))
+    own = F.col("state").isin("broken", "open")
+    settled = read.where(~open_ended | own).select("doc_id", "source", own.alias("cut"), "state", "kind", "ended", "marked", F.lit(None).cast("boolean").alias("at_limit"), F.lit(None).cast("double").alias("complete"), F.lit(None).cast("double").alias("baseline"), F.lit(None).cast("long").alias("closers"), "line", "g1", "g2")
+    out = read.where(open_ended & ~own).join(char_lim, F.col("source").eqNullSafe(F.col("cs")) & (F.col("chars") == F.col("cl")), "left")
     out = out.join(byte_lim, F.col("source").eqNullSafe(F.col("bs")) & (F.col("bytes") == F.col("bl")), "left")
     out = out.withColumn("at_limit", F.col("cl").isNotNull() | F.col("bl").isNotNull())
-    base = stats.where(F.col("stopped") + F.col("unstopped") > 0).select(F.col("gram").alias("base_key"), (F.col("stopped") / (F.col("stopped") + F.col("unstopped"))).alias("baseline"), (F.col("stopped") + F.col("unstopped")).alias("base_n"))
+    base = stats.where(F.col("stopped") + F.col("unstopped") > 0).select(F.col("gram").alias("base_key"), (F.col("stopped") / (F.col("stopped") + F.col("unstopped"))).alias("baseline"))
     key = F.concat(F.coalesce("source", F.lit("None")), F.lit("\x1f"), F.col("kind"))
     out = out.withColumn("base_key", key).join(base, "base_key", "left")
-    close = read.where("line <> ''").groupBy(F.col("line").alias("c_line")).agg(F.count("*").alias("closers"))
+    close = read.where("line <> '' AND NOT ended").groupBy(F.col("line").alias("c_line")).agg(F.count("*").alias("closers"))
     out = out.join(close, F.col("line") == F.col("c_line"), "left")
     for g in ("g1", "g2"):
         s = stats.where("seen > 0 or ending > 0").select(F.col("gram").alias(g), F.col("seen").alias(f"seen_{g}"), F.col("ending").alias(f"ending_{g}"))
@@ -267,14 +271,11 @@ def judged(documents: DataFrame) -> DataFrame:
     out = out.withColumn("complete", wide)
     own_line = F.col("kind").isin("short", "value", "heading", "bullet")
     closing = own_line & (zero("closers") > CLOSING) & (F.length("line") >= 4)
-    unended = ~F.col("ended")
     needs = (F.coalesce(F.col("baseline"), F.lit(0.0)) >= TERMINATED) & F.col("kind").isin("number", "prose")
-    cut = F.when(F.col("state") == "blank", False).when(F.col("state").isin("broken", "open"), True)
-    cut = cut.when(F.col("state").isin("bracket", "comma", "marker"), unended)
-    cut = cut.when(F.col("state") == "decimal", F.col("at_limit"))
-    cut = cut.when(F.col("ended"), False).when(closing, False).when(needs, True)
-    cut = cut.when(F.col("at_limit"), F.col("complete") < COMPLETE_AT_LIMIT).otherwise(unended & (F.col("complete") < COMPLETE))
-    return out.withColumn("cut", cut).select("doc_id", "source", "cut", "state", "kind", "ended", "marked", "at_limit", "complete", F.col("baseline"), zero("closers").alias("closers"), "line", "g1", "g2")
+    cut = F.when(F.col("state") == "decimal", F.col("at_limit")).when(F.col("state").isin("bracket", "comma", "marker"), True)
+    cut = cut.when(closing, False).when(needs, True).when(F.col("at_limit"), F.col("complete") < COMPLETE_AT_LIMIT).otherwise(F.col("complete") < COMPLETE)
+    judged_here = out.select("doc_id", "source", cut.alias("cut"), "state", "kind", "ended", "marked", "at_limit", "complete", F.col("baseline"), zero("closers").cast("long").alias("closers"), "line", "g1", "g2")
+    return settled.unionByName(judged_here)
 
 
 def p8_found(documents: DataFrame) -> DataFrame:
