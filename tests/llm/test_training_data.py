@@ -312,3 +312,11 @@ def test_every_query_runs_on_the_smallest_data_and_on_nothing(spark, sf, tmp_pat
     for name, q in queries.queries().items():
         assert q(spark, sf).count() > 0, name
         assert q(spark, str(tmp_path)).count() == (name in ("p7_fill",)), name
+
+
+def test_every_query_takes_dirty_tables(spark, sf, tmp_path):
+    from dirty import write
+
+    write(spark, sf, ["chunks", "content_list", "vlm_eval", "toc_tree", "documents", "packages"], str(tmp_path))
+    for name, q in queries.queries().items():
+        q(spark, str(tmp_path)).write.format("noop").mode("overwrite").save()
