@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import anchors, checks, chunking, cleaning, grids, lookup, pages, patches, records, search, sequences, toc, words
+from ..operators import anchors, audit, checks, chunking, cleaning, grids, lookup, pages, patches, records, search, sequences, toc, words
 from ..runtime import table
 from . import relational, views
 
@@ -725,3 +725,53 @@ def _(s, d):
 def _(s, d):
     p = views.page_texts(s, d).join(table(s, d, "toc_tree").where("toc_page IS NOT NULL").select("package_id", F.col("toc_page").alias("page")).distinct(), ["package_id", "page"])
     return lookup.title_recall(views.toc_entries(s, d), p, ["package_id"])
+
+
+# --- audits and reports ---
+
+
+def _audit(s, d):
+    rows = audit.source_rows(grids.cells(_bodies(s, d), "item_id", "table_body"), "item_id")
+    return audit.covered(rows, grids.key_values(_bodies(s, d), "item_id", "table_body", key_words=T.KEY_WORDS), "item_id")
+
+
+@query("g7_e9_source_rows")
+def _(s, d):
+    """Rows of the tables with the candidates that were extracted from them."""
+    return _audit(s, d)
+
+
+@query("h17_table_coverage")
+def _(s, d):
+    return audit.by_table(_audit(s, d), "item_id")
+
+
+@query("d20_gaps")
+def _(s, d):
+    return audit.gaps(_audit(s, d), "item_id")
+
+
+@query("h8_h11_page_report", f"WITH {_PAGES}, {_SEEN}{_MATCH}, cv AS (SELECT package_id, page, sum(least(n, m)) / sum(n) c FROM m GROUP BY ALL), lack AS (SELECT package_id, page, string_agg(token || ':' || missing, ', ' ORDER BY missing DESC, f) AS lacks FROM (SELECT *, n - m AS missing, row_number() OVER (PARTITION BY package_id, page ORDER BY n - m DESC, f) k FROM m WHERE n > m) WHERE k <= 5 GROUP BY ALL) SELECT package_id, page, round(c, 4) AS coverage, coalesce(lacks, '') AS lacks FROM cv LEFT JOIN lack USING (package_id, page) WHERE c < 0.82")
+def _(s, d):
+    """Pages below the threshold with the five tokens that they lack most."""
+    native, seen = views.seen_pages(s, d), views.page_texts(s, d)
+    low = pages.coverage(native, seen, ["package_id", "page"]).where("coverage < 0.82")
+    top = pages.missing_tokens(native, seen, ["package_id", "page"], 5).groupBy("package_id", "page").agg(F.array_sort(F.collect_list(F.struct("rank", F.concat("token", F.lit(":"), F.col("missing").cast("string")).alias("t")))).alias("x"))
+    return low.join(top, ["package_id", "page"], "left").select("package_id", "page", F.round("coverage", 4).alias("coverage"), F.coalesce(F.array_join(F.transform("x", lambda v: v["t"]), ", "), F.lit("")).alias("lacks"))
+
+
+@query("k6_overlapping", "SELECT section AS path, count(DISTINCT package_id) AS owners FROM chunks WHERE section IS NOT NULL GROUP BY section HAVING count(DISTINCT package_id) > 1")
+def _(s, d):
+    return audit.overlapping(table(s, d, "chunks").where("section IS NOT NULL").select("package_id", F.col("section").alias("path")), "package_id", "path")
+
+
+@query("k7_stale", "SELECT package_id, date_diff('day', CAST(created_at AS DATE), DATE '2026-01-01') AS age FROM packages WHERE created_at IS NULL OR date_diff('day', CAST(created_at AS DATE), DATE '2026-01-01') > 90")
+def _(s, d):
+    return audit.stale(table(s, d, "packages"), "package_id", "created_at", F.lit("2026-01-01").cast("date"), 90)
+
+
+@query("e19_unresolved", "SELECT DISTINCT segment FROM content_list WHERE coalesce(segment, '') <> '' AND segment NOT IN (SELECT segment FROM content_list WHERE type = 'table' AND segment IS NOT NULL)")
+def _(s, d):
+    """Segments that are named but have no table."""
+    c = table(s, d, "content_list")
+    return audit.unresolved_references(c.select(F.col("segment").alias("ref")), c.where("type = 'table'"), "segment", "ref").select(F.col("ref").alias("segment")).distinct()

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from foliomill.functions import text as T
-from foliomill.operators import anchors, checks, chunking, cleaning, grids, lookup, pages, patches, records, search, sequences, toc, words
+from foliomill.operators import anchors, audit, checks, chunking, cleaning, grids, lookup, pages, patches, records, search, sequences, toc, words
 
 
 def one(spark, expr, **values):
@@ -258,3 +258,27 @@ def test_exact_pages(spark):
     rows = spark.createDataFrame([("p", "a", "brake", 5, 6, "x"), ("p", "b", "fluid", 5, 6, "fluid oil"), ("p", "c", "none", 1, 2, ""), ("p", "d", None, 1, 2, ""), ("p", "e", "brake", 1, 2, None)], "k string, r string, key string, page_first int, page_last int, evidence string")
     got = {x.r: (x.page, x.scoped) for x in lookup.exact_pages(rows, p, ["k"], "r").collect()}
     assert got == {"a": (5, True), "b": (2, False), "e": (1, True)}
+
+
+def test_audit(spark):
+    df = spark.createDataFrame([(1, "<table><tr><th>名称</th><th>值</th></tr><tr><td>k</td><td>v</td></tr><tr><td></td><td></td></tr><tr><td>only</td><td></td></tr></table>")], "id int, body string")
+    rows = audit.source_rows(grids.cells(df, "id", "body"), "id")
+    a = audit.covered(rows, grids.key_values(df, "id", "body", key_words=T.KEY_WORDS), "id")
+    assert [r.status for r in a.orderBy("row_no").collect()] == ["header", "covered", "empty", "missing"]
+    assert audit.by_table(a, "id").first().asDict() == {"id": 1, "table_no": 0, "covered": 1, "missing": 1, "header": 1, "empty": 1}
+    done = spark.createDataFrame([(1, 0, 3)], "id int, table_no int, row_no int")
+    assert audit.gaps(a, "id").count() == 1 and audit.gaps(a, "id", done).count() == 0
+
+
+def test_rules_and_paths(spark):
+    f = spark.createDataFrame([("a", "draft", [1], "x", "y", None), (None, "odd", [], "", "", 0)], "fix_id string, status string, pages array<int>, before string, after string, expected int")
+    got = checks.violations(f.withColumn("id", F.monotonically_increasing_id()), "id", audit.fix_rules())
+    assert got.select("rule").distinct().count() == 6 and got.select("id").distinct().count() == 1
+    c = spark.createDataFrame([("m_p0003", 3, ["excessive_columns"]), ("m3", 0, ["other"])], "candidate_id string, page int, signals array<string>")
+    assert sorted(r.rule for r in checks.violations(c, "candidate_id", audit.candidate_rules()).collect()) == ["anchor_format", "page_positive", "signals_known"]
+    t = spark.createDataFrame([("p", "a/b"), ("q", "a/b"), ("p", "c/")], "o string, path string")
+    assert [(r.path, r.owners) for r in audit.overlapping(t, "o", "path").collect()] == [("a/b", 2)]
+    ch = spark.createDataFrame([("a/b/x",), ("c/y",), ("d",)], "path string")
+    assert [r.path for r in audit.uncovered(ch, t, "path").collect()] == ["d"]
+    d = spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-03-01"), ("c", None)], "k string, w string")
+    assert {(r.k, r.age) for r in audit.stale(d, "k", "w", F.lit("2024-03-02").cast("date"), 30).collect()} == {("a", 61), ("c", None)}
