@@ -129,7 +129,12 @@ def _(s, d):
     return table(s, d, "chunks").where("content IS NOT NULL").select("id", F.sha2(T.clean_tags("content"), 256).alias("form")).distinct()
 
 
-@query("c10_clean_prose")
+_PROSE = _INLINE.format(r"regexp_replace(content, '(?m)^#{1,4}\s+', '', 'g')")
+_PROSE = _TAGS.replace("regexp_replace(content,", f"regexp_replace({_PROSE},", 1)
+_PROSE = rf"regexp_replace(regexp_replace({_PROSE}, '\n{{3,}}', chr(10) || chr(10), 'g'), ' {{2,}}', ' ', 'g')"
+
+
+@query("c10_clean_prose", f"SELECT DISTINCT id, {_STRIP.format(_PROSE)} AS text FROM chunks WHERE content IS NOT NULL")
 def _(s, d):
     return table(s, d, "chunks").where("content IS NOT NULL").select("id", T.clean_prose("content").alias("text")).distinct()
 
@@ -483,6 +488,16 @@ def _(s, d):
     return grids.cells(_bodies(s, d), "item_id", "table_body")
 
 
+@query(
+    "g1_row_sizes",
+    r"""WITH b AS (SELECT item_id, list_transform(string_split_regex(regexp_replace(table_body, '(?i)</t[dh]\b[^>]*>', '', 'g'), '(?i)</?(?:tr|thead|tbody|tfoot)\b[^>]*>'), lambda x: len(string_split_regex(x, '(?i)<t[dh]\b[^>]*>')) - 1) n FROM content_list WHERE regexp_matches(table_body, '(?i)<table')),
+r AS (SELECT item_id, list_filter(n, lambda x: x > 0) n FROM b) SELECT item_id, CAST(unnest(range(0, len(n))) AS INT) AS row_no, unnest(n) AS cells FROM r""",
+)
+def _(s, d):
+    """Numbers of cells of the rows of each table; table bodies hold one table each."""
+    return grids.cells(_bodies(s, d), "item_id", "table_body").groupBy("item_id", "row_no").agg(F.count("*").alias("cells"))
+
+
 @query("g2_filled_cells")
 def _(s, d):
     return grids.cells(_bodies(s, d), "item_id", "table_body", fill=True)
