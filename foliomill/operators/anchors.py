@@ -99,10 +99,13 @@ def read_pages(block_rows: DataFrame, keys: list[str], first: int, last: int) ->
     return got.select(*keys, "blocks", F.array_join(F.transform("x", lambda s: s["text"]), "\n").alias("text"))
 
 
-def merge_parts(df: DataFrame, keys: list[str], order: Column, text: str, sep: str = "\n\n---\n\n") -> DataFrame:
-    """(keys, parts, text): texts of a key in order with a separator. For keys whose whole text fits a row, as a sink."""
-    got = df.groupBy(*keys).agg(F.count("*").alias("parts"), F.array_sort(F.collect_list(F.struct(order.alias("o"), F.col(text).alias("t")))).alias("x"))
-    return got.select(*keys, "parts", F.array_join(F.transform("x", lambda s: s["t"]), sep).alias("text"))
+def merge_parts(df: DataFrame, keys: list[str], order: Column, text: str, sep: str = "\n\n---\n\n", volume: int = 4096) -> DataFrame:
+    """(keys, volume, parts, text): texts of a key in order with a separator, in volumes of a bounded number of places.
+
+    Volumes joined with the separator give the whole; no value has to hold a whole document.
+    """
+    got = df.groupBy(*keys, F.floor(order / volume).cast("int").alias("volume")).agg(F.count("*").alias("parts"), F.array_sort(F.collect_list(F.struct(order.alias("o"), F.col(text).alias("t")))).alias("x"))
+    return got.select(*keys, "volume", "parts", F.array_join(F.transform("x", lambda s: s["t"]), sep).alias("text"))
 
 
 def colon_rows(rows: DataFrame, keys: list[str], skip_numeric: bool = False) -> DataFrame:

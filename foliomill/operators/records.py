@@ -108,7 +108,7 @@ def same_but(df: DataFrame, other: DataFrame, key: str, stable: list[str]) -> Da
     return a.join(b, F.col(f"a.{key}") == F.col(f"b.{key}")).select(F.col(f"a.{key}").alias(key), tests.alias("d")).where(F.size("d") > 0).select(key, F.array_join("d", ",").alias("differing"))
 
 
-def batch_id(df: DataFrame, package: str, key: str, buckets: int = 4096) -> DataFrame:
+def batch_id(df: DataFrame, package: str, key: str, buckets: int = 1 << 16) -> DataFrame:
     """(package, records, batch_id): a digest of all ids of a package, built as digests of sorted buckets, so no list of all ids is held."""
     b = F.pmod(F.xxhash64(key), F.lit(buckets))
     part = df.groupBy(package, b.alias("b")).agg(F.count("*").alias("n"), F.sha2(F.array_join(F.array_sort(F.collect_list(key)), ","), 256).alias("h"))

@@ -339,9 +339,9 @@ def _(s, d):
     return anchors.numbered(views.chunk_rows(s, d), ["package_id"], F.col("seq"), F.concat("package_id", F.lit("@seq_")), "chunk_id").select("id", "chunk_id")
 
 
-@query("f18_merge_parts", f"WITH {_MD} SELECT package_id, count(*) AS parts, sha256(string_agg(text, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY seq)) AS digest FROM md GROUP BY ALL")
+@query("f18_merge_parts", f"WITH {_MD} SELECT package_id, seq // 256 AS volume, count(*) AS parts, sha256(string_agg(text, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY seq)) AS digest FROM md GROUP BY ALL")
 def _(s, d):
-    return anchors.merge_parts(views.markdown_parts(s, d), ["package_id"], F.col("seq"), "text").select("package_id", "parts", F.sha2("text", 256).alias("digest"))
+    return anchors.merge_parts(views.markdown_parts(s, d), ["package_id"], F.col("seq"), "text", volume=256).select("package_id", "volume", "parts", F.sha2("text", 256).alias("digest"))
 
 
 @query("c5_repeated_lines", f"WITH {_MD} SELECT package_id, place, line FROM (SELECT *, lag(line) OVER (PARTITION BY package_id, place // 1048576 ORDER BY place) b FROM l) WHERE b = line")
