@@ -133,15 +133,18 @@ def tail(line: str) -> tuple[str, str]:
 def grams(line: str) -> list[tuple[str, str]]:
     """(token, token with the one before it) at each place of a line; of ideographs the last two and four."""
     out, before = [], ""
-    for m in _TOKEN.finditer(line):
-        t = m.group()
-        if t[0] >= "㐀" and "㐀" <= t[0] <= "鿿":
-            for k in range(1, len(t) + 1):
-                out.append((t[max(0, k - 2) : k] if k > 1 else before[-1:] + t[0], (before[-2:] + t[:k])[-4:]))
+    for t in _TOKEN.findall(line):
+        if "㐀" <= t[0] <= "鿿":
+            whole = before[-2:] + t
+            at = len(whole) - len(t)
+            for k in range(at + 1, len(whole) + 1):
+                out.append((whole[max(0, k - 2) : k] if k > at + 1 else before[-1:] + t[0], whole[max(0, k - 4) : k]))
             before = t[-2:]
         else:
-            s = _shape(t.rstrip(".,;:!?…"))
+            s = t.rstrip(".,;:!?…")
             if s:
+                if not s.isalpha():
+                    s = _shape(s)
                 out.append((s, f"{before} {s}"))
                 before = s
     return out
@@ -200,29 +203,30 @@ def ends(documents: DataFrame) -> DataFrame:
 
 
 def _count(state: Counter, rows: dict[str, list]) -> None:
-    """Occurrences of grams in lines, and at the ends of lines; a text's own last line is left out as an end."""
+    """Occurrences of grams in lines (g), and at the ends of lines (e); a text's own last line is left out as an end. Lines of a source and kind with (t) and without (u) a terminator."""
     for source, text in zip(rows["source"], rows["text"]):
         if not text:
             continue
         lines = _lines(text)
+        found: list[str] = []
         for k, line in enumerate(lines):
-            got = grams(line.rstrip())
+            line = line.rstrip()
+            got = grams(line)
             if not got:
                 continue
             final = k == len(lines) - 1
             for a, b in got[:-1] if final else got:
-                state["g", a] += 1
-                state["g", b] += 1
+                found.append("g" + a)
+                found.append("g" + b)
             if not final:
-                stop = bool(_END.search(line.rstrip()))
-                state["e", got[-1][0]] += 1
-                state["e", got[-1][1]] += 1
-                state["t" if stop else "u", f"{source}\x1f{_kind(line)}"] += 1
+                a, b = got[-1]
+                found += ("e" + a, "e" + b, f"{'t' if _END.search(line) else 'u'}{source}\x1f{_kind(line)}")
+        state.update(found)
 
 
 def _counted(state: Counter):
     if state:
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in state]), pa.array([k[1] for k in state]), pa.array(list(state.values()), pa.int64())], names=["what", "gram", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in state]), pa.array([k[1:] for k in state]), pa.array(list(state.values()), pa.int64())], names=["what", "gram", "n"])
 
 
 def counts(documents: DataFrame) -> DataFrame:
