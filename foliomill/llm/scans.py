@@ -78,12 +78,29 @@ _DIGIT = re.compile(r"\d")
 _HYPHEN_END = re.compile(r"[-‐­¬][ \t]*\r?\n")
 _MODEL = re.compile(r"[A-ZА-Я][A-Za-zА-Яа-я]+-\d+[A-Z]*(?:-\w+)*")
 _AROUND = re.compile(r"[\s|·•–—/\[\]()（）:-]*(?:(?:chapter|kapitel|глава|section|abschnitt|раздел|part|teil|часть|rev(?:ision)?\.?|ausgabe|stand|edition|issue|ver(?:sion)?\.?|manual|handbuch|page|seite|стр\.?|第\s*[一二三四五六七八九十百\d]+\s*[章节部]|第\s*\d+\s*页)\s*[A-Z]?\d{0,4}[.\d]*[\s|·•–—/:-]*)*[\d\s|·•–—/\[\]()-]{0,12}", re.I)
+#: Around the model name: page numbers at the outer edges of a line, and the words of a title.
+_FIRST_PAGES = re.compile(r"^(?:[\s|·•–—/\[\]()-]*\d{1,4}(?=[\s|·•–—/)\]-]))+")
+_LAST_PAGES = re.compile(r"(?:(?<=[\s|·•–—/(\[-])\d{1,4}[\s|·•–—/\[\]()-]*)+$")
+_BETWEEN = re.compile(r"[\s|·•–—/\[\]()（）-]+")
+_TITLE_WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*['’]?")
+TITLE_WORDS = 6
+# Words and ideographs of the closed classes that make a clause, and so no title.
+_CLAUSE = re.compile(
+    r"\b(?:the|an?|is|are|was|were|be|been|has|have|had|must|may|can|could|should|shall|will|would|does|do|not|it|this|that|these|those|when|if|where|after|before|until|which|so|than"
+    r"|der|die|das|den|dem|des|eine?[nmrs]?|ist|sind|wird|werden|wurden?|muss|müssen|kann|können|darf|dürfen|soll|sollen|hat|haben|nicht|wenn|nachdem|bevor|damit|dass|sich|bis"
+    r"|не|если|когда|что|чтобы|это|был[аои]?|есть|нужн[аоы]?|должн[аоы]|должен|надо|можно|нельзя)\b|[的了将把被应须请在是时并则若当至]",
+    re.I,
+)
 _LISTED = re.compile(r"\s*(?:[-*•·]\s|\d{1,3}[.)]\s|#|\||>|<)")
 _STOP = re.compile(r"[.!?。！？:：;；…][\"'”’»)\]）]*$")
 
 
-def furniture(line: str, model: str | None = None) -> bool:
-    """Whether a line is a running header or a page number."""
+def furniture(line: str, model: str | None = None, inside: bool = True) -> bool:
+    """Whether a line is a running header or a page number.
+
+    The name of the row's own model beside any title is a header: inside a text as it is, at its
+    edge or alone (where it may be the title of the text) only with a page number.
+    """
     s = line.strip()
     if not s or len(s) > 70 or not _DIGIT.search(s):
         return False  # each of them has a number of a page or of the model
@@ -95,7 +112,26 @@ def furniture(line: str, model: str | None = None) -> bool:
         name, at = m.group(), m.start()
     else:
         return False
-    return s == name == model or s != name and _AROUND.fullmatch(s[:at] + " " + s[at + len(name) :]) is not None
+    before, after = s[:at], s[at + len(name) :]
+    if s == name == model or s != name and _AROUND.fullmatch(before + " " + after) is not None:
+        return True
+    return name == model and _titled(before, after, inside)
+
+
+def _titled(before: str, after: str, inside: bool) -> bool:
+    """Whether what stands around the model name is a title, on one side or on both, with or without page numbers."""
+    if before[-1:].isalnum() or before[-1:] == "-" or after[:1].isalnum() or after[:1] == "-" or _LISTED.match(before) or _CLAUSE.search(f"{before} {after}"):
+        return False
+    words: list[str] = []
+    numbered = False
+    for side, pages in ((before, _FIRST_PAGES), (after, _LAST_PAGES)):
+        if _AROUND.fullmatch(side):
+            numbered = numbered or _DIGIT.search(side) is not None
+        else:
+            bare = pages.sub("", side, count=1)
+            numbered = numbered or bare != side
+            words += [w for w in _BETWEEN.split(bare) if w]
+    return 0 < len(words) <= TITLE_WORDS and all(map(_TITLE_WORD.fullmatch, words)) and (inside or numbered)
 
 
 # --- counting -------------------------------------------------------------------------------
@@ -384,7 +420,14 @@ def mend(text: str, fixes: Fixes, model: str | None = None, full: bool = True) -
     """The paragraphs of a text and whether it had noise; without ``full`` the paragraphs aren't made."""
     body = unify(text)
     lines = body.split("\n")
-    odd = [furniture(x, model) for x in lines] if len(lines) > 1 or len(body) <= 70 else [False]
+    odd = [False]
+    if len(lines) > 1 or len(body) <= 70:
+        odd = [furniture(x, model) for x in lines]
+        if odd[0] or odd[-1] or not lines[0].strip() or not lines[-1].strip():
+            # Only at the edges of a text does it matter that a title may be its own.
+            filled = [k for k, x in enumerate(lines) if x.strip()]
+            for k in {*filled[:1], *filled[-1:]}:
+                odd[k] = odd[k] and furniture(lines[k], model, False)
     noisy = any(odd)
     if noisy:
         kept: list[str] = []

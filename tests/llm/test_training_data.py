@@ -262,6 +262,17 @@ def test_furniture(line, is_furniture):
     assert scans.furniture(line, "Velora-250R") is is_furniture
 
 
+@pytest.mark.parametrize("line, inside, alone", [("Velora-250R workshop edition", True, False), ("Velora-250R Owner's Manual   20", True, True), ("Velora-250R SERVICE MANUAL", True, False), ("Velora-250R Betriebsanleitung   7", True, True), ("14 | WARTUNGSBUCH · Velora-250R", True, True), ("Velora-250R 维修手册", True, False), ("Velora-250R руководство   236", True, True), ("Velora-250R 使用说明书   606", True, True), ("Velora-250R Field Service Companion", True, False), ("四章 Velora-250R 保养手册  3", True, True), ("Velora-250R must be lifted", False, False), ("- Velora-250R shield", False, False), ("Velora-250R: front shield", False, False), ("Velora-250R 12 mm", False, False), ("Velora-250R-X shield", False, False), ("Marlo-530GT front shield", False, False), ("对Velora-250R进行检查", False, False), ("Velora-250R 的后减震器", False, False)])
+def test_headers_with_any_title(line, inside, alone):
+    assert scans.furniture(line, "Velora-250R") is inside and scans.furniture(line, "Velora-250R", False) is alone
+
+
+def test_titled_header_is_taken_out():
+    none = scans.Fixes({}, {}, {})
+    assert scans.mend("the radiator\n\nVelora-250R SERVICE MANUAL\n\ncap with care.", none, "Velora-250R") == (["the radiator cap with care."], True)
+    assert scans.mend("Velora-250R SERVICE MANUAL\n\nThe radiator cap.", none, "Velora-250R") == (["Velora-250R SERVICE MANUAL", "The radiator cap."], False)
+
+
 def scan_rows(spark):
     good = "Tighten the rear clutch cover and inspect the auxiliary sprocket, then replace the coupling. 左侧离合器盖由技师固定在上部车架之后"
     bad = "Tightcn the rcar clutch c0ver and inspcct the auxiliary spr0cket, then replace the coup1ing."
