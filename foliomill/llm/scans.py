@@ -340,20 +340,22 @@ def sign_fixes(stats: DataFrame) -> DataFrame:
     return each.groupBy("pair", F.col("at").cast("int").alias("place")).agg(F.max_by(F.substr("good", F.col("at") + 1, F.lit(1)), F.struct(-F.col("place"), "n")).alias("meant"))
 
 
-def context(texts: DataFrame, meant: set[str]) -> DataFrame:
-    """(pair, n): in how many rows each pair of words stands that has a word of ``meant``, over all rows."""
+def context(texts: DataFrame, meant: set[str] | None) -> DataFrame:
+    """(pair, n): in how many rows each pair of words stands that has a word of ``meant`` (None: each pair), over all rows."""
     shared = texts.sparkSession.sparkContext.broadcast(meant)
 
     def count(state: Counter, rows: dict[str, list]) -> None:
         wanted = shared.value
-        few = list(wanted) if len(wanted) <= 64 else None
+        few = list(wanted) if wanted is not None and len(wanted) <= 64 else None
         for parts in rows["parts"]:
             seen: set[str] = set()
             for part in parts or ():
                 if not part or few and not any(w in part for w in few):
                     continue
                 words = _WORD.findall(part)
-                if not wanted.isdisjoint(words):
+                if wanted is None:
+                    seen.update(f"{a} {b}" for a, b in zip(words, words[1:]))
+                elif not wanted.isdisjoint(words):
                     seen.update(f"{a} {b}" for a, b in zip(words, words[1:]) if a in wanted or b in wanted)
             state.update(seen)
 
@@ -361,6 +363,15 @@ def context(texts: DataFrame, meant: set[str]) -> DataFrame:
     return part.groupBy(F.col("key").alias("pair")).agg(F.sum("n").alias("n"))
 
 
+def context_joined(texts: DataFrame, words: DataFrame) -> DataFrame:
+    """context() of the readings of equal cost, for more of them than can be broadcast."""
+    tied = words.groupBy("word", F.round("cost", 3).alias("c")).count().where("count > 1").select("word").distinct()
+    meant = settle(words.join(tied, "word", "left_semi").select(F.col("meant").alias("m")).distinct())
+    pairs = settle(context(texts, None))
+    sides = [pairs.join(meant, F.split("pair", " ")[k] == F.col("m"), "left_semi") for k in (0, 1)]
+    return sides[0].unionByName(sides[1]).distinct()
+
+
 # --- repair ---------------------------------------------------------------------------------
 
 
@@ -416,8 +427,8 @@ def fix_signs(text: str, fixes: Fixes) -> tuple[str, int]:
     return "".join(new.get(k, c) for k, c in enumerate(text)), len(new)
 
 
-def mend(text: str, fixes: Fixes, model: str | None = None, full: bool = True) -> tuple[list[str], bool]:
-    """The paragraphs of a text and whether it had noise; without ``full`` the paragraphs aren't made."""
+def prepared(text: str, model: str | None = None) -> tuple[str, bool]:
+    """The text in which words and ideographs are corrected, without furniture and broken words, and whether it had any."""
     body = unify(text)
     lines = body.split("\n")
     odd = [False]
@@ -464,11 +475,17 @@ def mend(text: str, fixes: Fixes, model: str | None = None, full: bool = True) -
     apart = not body.isascii() and _SPACED.search(body) is not None
     if apart:
         body = _APART.sub("", body)
+    return body, noisy or broken > 0 or apart
+
+
+def mend(text: str, fixes: Fixes, model: str | None = None, full: bool = True) -> tuple[list[str], bool]:
+    """The paragraphs of a text and whether it had noise; without ``full`` the paragraphs aren't made."""
+    body, noisy = prepared(text, model)
     hits = 0
     if not body.isascii():
         body, hits = fix_signs(body, fixes)
     body, n = fix_words(body, fixes)
-    noisy = noisy or broken > 0 or apart or hits + n >= SEVERAL
+    noisy = noisy or hits + n >= SEVERAL
     return reflow(body, noisy) if full else [], noisy
 
 
@@ -519,32 +536,54 @@ def _mender(fixes_of, full: bool):
 _KEYS = [("src", pa.string()), ("row_key", pa.string()), ("noisy", pa.bool_())]
 
 
-def _joined(texts: DataFrame, words: DataFrame, signs: DataFrame, run, schema: str, arrow: pa.Schema) -> DataFrame:
-    """The way for correction tables that are too large to broadcast: the words of each row meet them by a join."""
-    tokens = pa.schema([("src", pa.string()), ("row_key", pa.string()), ("token", pa.string())])
+def _joined(texts: DataFrame, words: DataFrame, signs: DataFrame, beside: DataFrame, run, schema: str, arrow: pa.Schema) -> DataFrame:
+    """The way for correction tables that are too large to broadcast: the words of each row, and what may stand beside their readings, meet them by joins."""
+    tokens = pa.schema([("src", pa.string()), ("row_key", pa.string()), ("token", pa.string()), ("before", pa.list_(pa.string())), ("after", pa.list_(pa.string()))])
 
     def spread(rows: dict[str, list]) -> dict[str, list]:
-        out: dict[str, list] = {"src": [], "row_key": [], "token": []}
-        for src, key, parts in zip(rows["src"], rows["row_key"], rows["parts"]):
-            seen = set()
+        """What mend() and the count over whole elements look up."""
+        out: dict[str, list] = {f.name: [] for f in tokens}
+        for src, key, model, parts in zip(rows["src"], rows["row_key"], rows["model"], rows["parts"]):
+            seen: dict[str, tuple[set, set]] = defaultdict(lambda: (set(), set()))
             for p in parts or ():
                 if p:
-                    t = unify(p)
-                    t = _APART.sub("", t) if _SPACED.search(t) else t
-                    t = _BROKEN.sub(lambda m: m.group(1) + m.group(2), t)
-                    seen.update(w for w in _WORD.findall(t))
-                    for r in _HANS.findall(t):
-                        seen.update(r[k : k + 2] for k in range(len(r) - 1))
+                    body = prepared(p, model)[0]
+                    found = _WORD.findall(body)
+                    for k, w in enumerate(found):
+                        if len(w) >= LEAST_LETTERS:
+                            seen[w][0].update(found[k - 1 : k] if k else ())
+                            seen[w][1].update(found[k + 1 : k + 2])
+                    whole = [body]
+                    if len(parts) > 1:
+                        whole.append(p)
+                        for w in _WORD.findall(p):
+                            if len(w) >= LEAST_LETTERS:
+                                seen[w]
+                    for t in whole:
+                        for r in _HANS.findall(t):
+                            for k in range(len(r) - 1):
+                                seen[r[k : k + 2]]
             out["src"] += [src] * len(seen)
             out["row_key"] += [key] * len(seen)
             out["token"] += seen
+            out["before"] += [list(x) for x, _ in seen.values()]
+            out["after"] += [list(x) for _, x in seen.values()]
         return out
 
     w = words.groupBy(F.col("word").alias("token")).agg(F.collect_list(F.struct("meant", "cost", "n")).alias("words")).withColumn("signs", F.lit(None).cast("array<struct<place:int,meant:string>>"))
     z = signs.groupBy(F.col("pair").alias("token")).agg(F.collect_list(F.struct("place", "meant")).alias("signs")).select("token", F.lit(None).cast("array<struct<meant:string,cost:double,n:bigint>>").alias("words"), "signs")
-    spread_rows = map_slices(texts, spread, "src string, row_key string, token string", tokens)
-    hit = spread_rows.join(w.unionByName(z), "token").groupBy("src", "row_key").agg(F.collect_set(F.struct("token", "words", "signs")).alias("own"))
-    return map_slices(texts.join(hit, ["src", "row_key"], "left"), run, schema, arrow)
+    spread_rows = map_slices(texts, spread, "src string, row_key string, token string, before array<string>, after array<string>", tokens)
+    hit = settle(spread_rows.join(w.unionByName(z), "token"))
+    own = hit.groupBy("src", "row_key").agg(F.collect_set(F.struct("token", "words", "signs")).alias("own"))
+    asked = hit.where(F.size("words") > 1).select("src", "row_key", "before", "after", F.explode("words.meant").alias("m"))
+    around = F.concat(F.transform("before", lambda x: F.concat(x, F.lit(" "), F.col("m"))), F.transform("after", lambda x: F.concat(F.col("m"), F.lit(" "), x)))
+    asked = asked.select("src", "row_key", F.explode(around).alias("pair")).distinct()
+    near = asked.join(beside, "pair").groupBy("src", "row_key").agg(F.collect_list(F.struct("pair", "n")).alias("beside"))
+    out = texts
+    for got in (own, near):
+        got = got.withColumnsRenamed({"src": "k_src", "row_key": "k_row_key"})
+        out = out.join(got, F.col("src").eqNullSafe(F.col("k_src")) & F.col("row_key").eqNullSafe(F.col("k_row_key")), "left").drop("k_src", "k_row_key")
+    return map_slices(out, run, schema, arrow)
 
 
 def mended(texts: DataFrame, full: bool, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -554,9 +593,8 @@ def mended(texts: DataFrame, full: bool, broadcast_rows: int = BROADCAST_ROWS) -
     signs = settle(sign_fixes(stats))
     schema = "src string, row_key string, noisy boolean" + (", paragraphs array<string>" if full else "")
     arrow = pa.schema(_KEYS + ([("paragraphs", pa.list_(pa.string()))] if full else []))
-    n = words.count() + signs.count()
-    if n > broadcast_rows:
-        # Context decides only between readings of one cost; without it the more frequent one is taken.
+
+    def by_join(beside: DataFrame) -> DataFrame:
         def own(rows: dict[str, list], k: int) -> Fixes:
             w, z = {}, defaultdict(dict)
             for x in rows["own"][k] or ():
@@ -564,9 +602,12 @@ def mended(texts: DataFrame, full: bool, broadcast_rows: int = BROADCAST_ROWS) -
                     w[x["token"]] = [(y["meant"], y["cost"], y["n"]) for y in x["words"]]
                 for y in x["signs"] or ():
                     z[x["token"]][y["place"]] = y["meant"]
-            return Fixes(w, z, {})
+            return Fixes(w, z, {x["pair"]: x["n"] for x in rows["beside"][k] or ()})
+
+        return _joined(texts, words, signs, beside, _mender(own, full), schema, arrow)
 
-        return _joined(texts, words, signs, _mender(own, full), schema, arrow)
+    if words.count() + signs.count() > broadcast_rows:
+        return by_join(context_joined(texts, words).where(F.col("n") >= RATIO))
     table: dict[str, list] = defaultdict(list)
     for r in words.collect():
         table[r["word"]].append((r["meant"], r["cost"], r["n"]))

@@ -298,6 +298,22 @@ def test_join_way_equals_broadcast(spark):
     assert a == b
 
 
+def both_ways(texts):
+    return [sorted((str(r["row_key"]), r["noisy"], tuple(r["paragraphs"])) for r in scans.mended(texts, True, n).collect()) for n in (scans.BROADCAST_ROWS, -1)]
+
+
+def test_join_way_looks_up_what_is_corrected(spark):
+    good = ["push the lever down"] * 40 + ["call the lover back"] * 60 + ["Ober und Grenze, coupling rod"] * 120
+    bad = ["pull the lcver down", "the couplinq rod", "at Obcr-\nGrenze it is", "Obcr-\nund Grenze", "push the coup-\n\n207\n\nlinq rod"]
+    rows = [("chunks", f"g{k:03d}", "M-1A", [t]) for k, t in enumerate(good)] + [("chunks", f"x{k}", "M-1A", [t]) for k, t in enumerate(bad)]
+    rows += [("vlm_eval", "e", "M-1A", ["lcver\u200ba and Obcr\u200ba", "x"]), ("chunks", None, None, ["pull the lcver down, Obcr"])]
+    a, b = both_ways(spark.createDataFrame(rows, "src string, row_key string, model string, parts array<string>"))
+    assert a == b
+    got = {k: (noisy, p) for k, noisy, p in a}
+    assert got["x0"][1] == ("pull the lever down",) and got["x2"][1] == ("at Ober-\nGrenze it is",) and got["x3"][1] == ("Ober-\nund Grenze",)
+    assert got["x4"] == (True, ("push the coupling rod",)) and got["e"][0] and got["None"] == (True, ("pull the lever down, Ober",))
+
+
 # 8 truncation
 
 
