@@ -10,7 +10,9 @@ against the rest of the corpus:
 - otherwise it is a cut if the text's last words, or last ideographs, hardly ever end a line
   elsewhere, which holds for the fragments of words and for the middles of phrases;
 - texts as long as a limit of their source, a length that stands out among its lengths, are
-  judged more strictly.
+  judged more strictly;
+- other texts are whole if many different texts close with the same line; copies of a text
+  count once, and texts as long as a limit don't count.
 
 Counts and baselines are taken over all texts; the counts are joined to the tails, one or two
 rows a text, so nothing is broadcast and nothing is collected.
@@ -23,6 +25,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,8 +40,9 @@ TERMINATED = 0.9
 COMPLETE = 0.01
 #: The same for texts as long as a limit of their source.
 COMPLETE_AT_LIMIT = 0.9
-#: Closing lines that so many other texts have (codes and numbers aside) are whole.
+#: Closing lines (codes and numbers aside) of more different texts than this, and of this share of the different texts of the sources that have them, are whole.
 CLOSING = 4
+CLOSING_SHARE = 0.001
 #: A length is a limit of a source if at least so many texts, and this share of them, have it.
 LIMIT_TEXTS = 5
 LIMIT_SHARE = 0.02
@@ -154,18 +158,20 @@ def _lines(text: str) -> list[str]:
     return [x for x in re.split(r"[\r\n]+", text) if x.strip()]
 
 
-_READ = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("chars", pa.int32()), ("bytes", pa.int32()), ("state", pa.string()), ("kind", pa.string()), ("ended", pa.bool_()), ("marked", pa.bool_()), ("line", pa.string()), ("g1", pa.string()), ("g2", pa.string())])
+_READ = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("chars", pa.int32()), ("bytes", pa.int32()), ("state", pa.string()), ("kind", pa.string()), ("ended", pa.bool_()), ("marked", pa.bool_()), ("line", pa.string()), ("g1", pa.string()), ("g2", pa.string()), ("rest", pa.int64())])
 
 
 def read_end(text: str | None) -> tuple:
-    """(chars, bytes, state, kind, ended, marked, line, g1, g2) of one text.
+    """(chars, bytes, state, kind, ended, marked, line, g1, g2, rest) of one text.
+
+    rest: a hash of the text before its last line.
 
     state: blank, broken (a sign cut in two), open (a structure that isn't closed), bracket
     (a bracket or quote of the last line that isn't closed), comma (a sign after which more
     must follow), marker (a list marker alone), decimal (a number with a point) or plain.
     """
     if not text or not text.strip():
-        return (len(text or ""), len((text or "").encode("utf-8", "replace")), "blank", "short", True, False, "", "", "")
+        return (len(text or ""), len((text or "").encode("utf-8", "replace")), "blank", "short", True, False, "", "", "", 0)
     body = text.rstrip()
     marked = bool(_MARK.search(body)) and not body.endswith("����")
     bare = _MARK.sub("", body) if marked else body
@@ -189,17 +195,19 @@ def read_end(text: str | None) -> tuple:
         state = "decimal"  # a sentence may end so, but so may a number that is cut after its point
     g1, g2 = tail(last)
     shape = " ".join(_shape(t) for t in last.strip().split())[-160:]
-    return (len(text), len(text.encode("utf-8", "replace")), state, kind, ended, marked or text != body and not text.endswith("\n"), shape, g1, g2)
+    before = body[: body.rfind(last)].strip()
+    rest = int.from_bytes(blake2b(before.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+    return (len(text), len(text.encode("utf-8", "replace")), state, kind, ended, marked or text != body and not text.endswith("\n"), shape, g1, g2, rest)
 
 
 def _ends(rows: dict[str, list]) -> dict[str, list]:
     got = [read_end(t) for t in rows["text"]]
-    return {"doc_id": rows["doc_id"], "source": rows["source"], **{n: [g[k] for g in got] for k, n in enumerate(("chars", "bytes", "state", "kind", "ended", "marked", "line", "g1", "g2"))}}
+    return {"doc_id": rows["doc_id"], "source": rows["source"], **{n: [g[k] for g in got] for k, n in enumerate(("chars", "bytes", "state", "kind", "ended", "marked", "line", "g1", "g2", "rest"))}}
 
 
 def ends(documents: DataFrame) -> DataFrame:
     slim = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "text")
-    return map_slices(slim, _ends, "doc_id long, source string, chars int, bytes int, state string, kind string, ended boolean, marked boolean, line string, g1 string, g2 string", _READ)
+    return map_slices(slim, _ends, "doc_id long, source string, chars int, bytes int, state string, kind string, ended boolean, marked boolean, line string, g1 string, g2 string, rest long", _READ)
 
 
 def _count(state: Counter, rows: dict[str, list]) -> None:
@@ -248,6 +256,19 @@ def limits(read: DataFrame) -> DataFrame:
     return got.where((F.col("n") >= LIMIT_TEXTS) & (F.col("n") >= LIMIT_SHARE * F.col("texts"))).select("source", "unit", "length")
 
 
+def closing_lines(read: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(c_line, closers): the lines that close enough different texts of the sources that have them.
+
+    candidates: (source, line, rest) of the texts that may show a closing line.
+    """
+    texts = read.where("state <> 'blank'").select("source", F.xxhash64("line", "rest").alias("t")).distinct().groupBy(F.col("source").alias("t_source")).agg(F.count("*").alias("texts"))
+    # A text that several sources have counts once, too.
+    once = candidates.select("line", "rest").distinct().groupBy(F.col("line").alias("c_line")).agg(F.count("*").alias("closers"))
+    per = candidates.select("source", "line").distinct().join(texts, F.col("source").eqNullSafe(F.col("t_source"))).groupBy("line").agg(F.sum("texts").alias("texts"))
+    per = once.join(per, F.col("c_line") == F.col("line"))
+    return per.where((F.col("closers") > CLOSING) & (F.col("closers") >= CLOSING_SHARE * F.col("texts"))).select("c_line", "closers")
+
+
 def judged(documents: DataFrame) -> DataFrame:
     """(doc_id, source, cut, ...): the verdict on every text with what led to it."""
     read = settle(ends(documents))
@@ -265,7 +286,7 @@ def judged(documents: DataFrame) -> DataFrame:
     base = stats.where(F.col("stopped") + F.col("unstopped") > 0).select(F.col("gram").alias("base_key"), (F.col("stopped") / (F.col("stopped") + F.col("unstopped"))).alias("baseline"))
     key = F.concat(F.coalesce("source", F.lit("None")), F.lit("\x1f"), F.col("kind"))
     out = out.withColumn("base_key", key).join(base, "base_key", "left")
-    close = read.where("line <> '' AND NOT ended").groupBy(F.col("line").alias("c_line")).agg(F.count("*").alias("closers"))
+    close = closing_lines(read, out.where("line <> '' AND NOT ended AND NOT at_limit").select("source", "line", "rest"))
     out = out.join(close, F.col("line") == F.col("c_line"), "left")
     for g in ("g1", "g2"):
         s = stats.where("seen > 0 or ending > 0").select(F.col("gram").alias(g), F.col("seen").alias(f"seen_{g}"), F.col("ending").alias(f"ending_{g}"))
@@ -274,7 +295,7 @@ def judged(documents: DataFrame) -> DataFrame:
     wide = F.when(zero("seen_g2") >= 5, zero("ending_g2") / zero("seen_g2")).otherwise(F.when(zero("seen_g1") > 0, zero("ending_g1") / zero("seen_g1")).otherwise(F.lit(0.0)))
     out = out.withColumn("complete", wide)
     own_line = F.col("kind").isin("short", "value", "heading", "bullet")
-    closing = own_line & (zero("closers") > CLOSING) & (F.length("line") >= 4)
+    closing = own_line & F.col("c_line").isNotNull() & (F.length("line") >= 4) & ~F.col("at_limit")
     needs = (F.coalesce(F.col("baseline"), F.lit(0.0)) >= TERMINATED) & F.col("kind").isin("number", "prose")
     cut = F.when(F.col("state") == "decimal", F.col("at_limit")).when(F.col("state").isin("bracket", "comma", "marker"), True)
     cut = cut.when(closing, False).when(needs, True).when(F.col("at_limit"), F.col("complete") < COMPLETE_AT_LIMIT).otherwise(F.col("complete") < COMPLETE)

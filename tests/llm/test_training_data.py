@@ -333,6 +333,19 @@ def test_truncation_query(spark):
     assert by == {"a": (126, 5), None: (1, 0)}
 
 
+def test_closing_lines_are_of_different_texts(spark):
+    r = random.Random(9)
+    parts = ["Tighten the rear cover", "inspect the upper shaft", "replace the main valve", "drain the lower tank"]
+    whole = [" ".join(f"{r.choice(parts)} with the long key.".capitalize() for _ in range(6)) for _ in range(120)]
+    rows = [(k, t, "a", "") for k, t in enumerate(whole)]
+    rows += [(1000 + k, whole[0] + "\nTighten the rear", "a", "") for k in range(6)]  # copies of one cut text
+    limited = [f"{whole[k]}\nInspect the upper" for k in range(1, 7)]  # different texts, all as long as their source's limit
+    rows += [(2000 + k, f"{'x' * (400 - len(t))} {t}", "b", "") for k, t in enumerate(limited)]
+    rows += [(3000 + k, t + "\nSigned by the workshop", "a", "") for k, t in enumerate(whole[10:20])]
+    df = spark.createDataFrame(rows, DOCS)
+    assert keys(truncation.p8_found(df)) == [*range(1000, 1006), *range(2000, 2006)]
+
+
 def test_every_query_runs_on_the_smallest_data_and_on_nothing(spark, sf, tmp_path):
     for name in ("chunks", "content_list", "vlm_eval", "toc_tree", "documents", "packages"):
         table(spark, sf, name).limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
