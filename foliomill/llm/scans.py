@@ -42,7 +42,7 @@ LEAST_LETTERS = 4
 ALIKE, OTHER, ACCEPT = 0.4, 1.0, 0.8
 #: A row needs this many misread words or ideographs to be a case by them alone.
 SEVERAL = 2
-#: Rows of the correction tables up to which they are broadcast (about 100 bytes each).
+#: Rows of the correction tables and of the pairs beside tied readings, together, up to which they are broadcast (about 100 bytes each).
 BROADCAST_ROWS = 300_000
 #: Rare words of all lengths that are held against the vocabulary at once, and tasks that share them by length.
 TASK_WORDS = 20_000
@@ -350,9 +350,12 @@ def context(texts: DataFrame, meant: set[str] | None) -> DataFrame:
         for parts in rows["parts"]:
             seen: set[str] = set()
             for part in parts or ():
-                if not part or few and not any(w in part for w in few):
+                if not part:
                     continue
-                words = _WORD.findall(part)
+                text = unify(part)  # spaces beside ideographs part no words of their own, so they can stay
+                if few and not any(w in text for w in few):
+                    continue
+                words = _WORD.findall(text)
                 if wanted is None:
                     seen.update(f"{a} {b}" for a, b in zip(words, words[1:]))
                 elif not wanted.isdisjoint(words):
@@ -606,8 +609,9 @@ def mended(texts: DataFrame, full: bool, broadcast_rows: int = BROADCAST_ROWS) -
 
         return _joined(texts, words, signs, beside, _mender(own, full), schema, arrow)
 
-    if words.count() + signs.count() > broadcast_rows:
-        return by_join(context_joined(texts, words).where(F.col("n") >= RATIO))
+    n = words.count() + signs.count()
+    if n > broadcast_rows:
+        return by_join(context_joined(texts, words))
     table: dict[str, list] = defaultdict(list)
     for r in words.collect():
         table[r["word"]].append((r["meant"], r["cost"], r["n"]))
@@ -618,7 +622,10 @@ def mended(texts: DataFrame, full: bool, broadcast_rows: int = BROADCAST_ROWS) -
     beside: dict[str, int] = {}
     if several:
         # Only pairs that can decide between readings of a rare word: what stands around these words here.
-        beside = dict(context(texts, several).where(F.col("n") >= RATIO).collect())
+        near = settle(context(texts, several))
+        if n + near.count() > broadcast_rows:
+            return by_join(near)
+        beside = dict(near.collect())
     shared = texts.sparkSession.sparkContext.broadcast(Fixes(dict(table), dict(pairs), beside))
     return map_slices(texts, _mender(lambda rows, k: shared.value, full), schema, arrow)
 

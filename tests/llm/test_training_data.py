@@ -314,6 +314,14 @@ def test_join_way_looks_up_what_is_corrected(spark):
     assert got["x4"] == (True, ("push the coupling rod",)) and got["e"][0] and got["None"] == (True, ("pull the lever down, Ober",))
 
 
+def test_context_of_few_rows_decides(spark):
+    # "lover" is the more frequent reading; beside "bent" stands "lever", in 3 rows, two of them in wide letters.
+    good = ["a lever"] * 40 + ["a lover"] * 60 + ["bent lever"] + ["ｂｅｎｔ ｌｅｖｅｒ"] * 2
+    texts = spark.createDataFrame([("chunks", f"k{k:03d}", "M-1A", [t]) for k, t in enumerate([*good, "bent lcver"])], "src string, row_key string, model string, parts array<string>")
+    ways = [sorted((r["row_key"], tuple(r["paragraphs"])) for r in scans.mended(texts, True, n).collect()) for n in (scans.BROADCAST_ROWS, 3, -1)]  # 3: two readings fit, their context doesn't
+    assert ways[0] == ways[1] == ways[2] and ways[0][-1] == ("k103", ("bent lever",))
+
+
 # 8 truncation
 
 
