@@ -116,17 +116,18 @@ def batch_id(df: DataFrame, package: str, key: str, buckets: int = 1 << 16) -> D
     return got.select(package, "records", F.sha2(F.concat_ws("|", F.coalesce(F.col(package), F.lit("")), F.array_join(F.transform("x", lambda s: s["h"]), ",")), 256).alias("batch_id"))
 
 
-def cycles(edges: DataFrame, steps: int = 32) -> DataFrame:
+def cycles(edges: DataFrame) -> DataFrame:
     """(node): nodes that lie on a cycle of (src, dst), or lead only to and from one, by peeling.
 
     Nodes without an edge in, or without one out, can't be on a cycle; they are taken away until
-    none is left. Each step is two semi joins; the lineage is cut at every step.
+    none is left, however long the chains are: one step for each two edges of the longest. Each
+    step is two semi joins; the lineage is cut at every step.
     """
     from ..runtime import settle
 
     left = settle(edges.select("src", "dst").where(F.col("src").isNotNull() & F.col("dst").isNotNull()).distinct())
     n = left.count()
-    for _ in range(steps):
+    while n:
         kept = left.join(left.select(F.col("src").alias("dst")).distinct(), "dst", "left_semi")
         kept = settle(kept.select("src", "dst").join(kept.select(F.col("dst").alias("src")).distinct(), "src", "left_semi").select("src", "dst"))
         m = kept.count()

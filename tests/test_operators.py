@@ -203,6 +203,11 @@ def test_cycles(spark):
     assert sorted(r.node for r in records.cycles(e).collect()) == ["a", "b", "c", "x"]
 
 
+def test_a_long_chain_is_no_cycle(spark):
+    e = spark.createDataFrame([(f"n{k:03d}", f"n{k + 1:03d}") for k in range(99)] + [("x", "y"), ("y", "x")], "src string, dst string").coalesce(1)
+    assert sorted(r.node for r in records.cycles(e).collect()) == ["x", "y"]
+
+
 def test_checks_and_search(spark):
     df = spark.createDataFrame([(1, "ok"), (2, None)], "id int, s string")
     assert [(r.id, r.rule) for r in checks.violations(df, "id", {"s_ok": F.col("s") == "ok"}).collect()] == [(2, "s_ok")]
