@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from foliomill.llm import bpe, lookalikes, markup, packing, queries, repetition, scans, splitting, truncation
 from foliomill.runtime import table
@@ -325,7 +326,8 @@ def test_context_of_few_rows_decides(spark):
 # 8 truncation
 
 
-@pytest.mark.parametrize("text, state", [("<table><tr><td>a", "open"), ("```\nx", "open"), ("caf\ufffd", "broken"), ("a &am", "broken"), ("ends (here", "bracket"), ("one, two,", "comma"), ("Text.\n4.", "marker"), ("whole.", "plain"), (None, "blank"), (" \n", "blank"), ("<p>a<p>b.", "plain")])
+@pytest.mark.parametrize("text, state", [("<table><tr><td>a", "open"), ("```\nx", "open"), ("caf\ufffd", "broken"), ("a &am", "broken"), ("ends (here", "bracket"), ("one, two,", "comma"), ("Text.\n4.", "marker"), ("whole.", "plain"), (None, "blank"), (" \n", "blank"), ("<p>a<p>b.", "plain"),
+    ('He said "turn the key', "bracket"), ("Sie sagt „den Hebel lösen", "bracket"), ("Sie sagt „den Hebel“ zu lösen.", "plain"), ("press ‚Start", "bracket"), ("the 'long key", "bracket"), ("the driver's own key's head", "plain"), ("a 5\" bolt and a 6\" bolt", "plain"), ("the drivers' tools", "plain"), ("<table><tr><td>a</td></tr></table>", "closed"), ("| a | b |", "closed"), ("| a | b", "open"), ("rock 'n' roll", "plain")])
 def test_automaton(text, state):
     assert truncation.read_end(text)[2] == state
 
@@ -354,6 +356,24 @@ def test_closing_lines_are_of_different_texts(spark):
     assert keys(truncation.p8_found(df)) == [*range(1000, 1006), *range(2000, 2006)]
 
 
+def test_copies_of_all_documents_change_no_verdict(spark):
+    d = table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text", "source")
+    copies = d.crossJoin(spark.range(8).withColumnRenamed("id", "k")).withColumn("doc_id", F.col("doc_id") * 8 + F.col("k"))
+    once = keys(truncation.p8_found(d))
+    assert once and keys(truncation.p8_found(copies)) == sorted(8 * i + k for i in once for k in range(8))
+
+
+def test_phrases_are_counted_as_one_by_one():
+    texts = ["Turn the key.\nTurn the lever 12,5 mm", "", "检查外侧油泵\n检查Q12F油", "a ... b;\r\n- x M1A y", "\n\n"]
+    g1, g2, closes, doc = truncation.grams(texts)
+    assert [int(x) for x in np.bincount(doc, minlength=5)] == [8, 0, 10, 6, 0]
+    assert g1[0] == g1[3] and g1[1] == g1[4] and g2[1] == g2[4] and g2[0] == g2[3] and g2[2] != g2[5]  # "Turn the" begins both lines
+    assert [int(k) for k in np.flatnonzero(closes)] == [2, 7, 13, 17, 19, 23]
+    assert truncation.tails(["weiter M2B y.", "x"])[0][0] == truncation.tails(["y"])[0][0]
+    assert truncation.tails(["a Q77F y"])[1][0] == truncation.tails(["b R1F y"])[1][0] != truncation.tails(["a Q77F. z y"])[1][0]
+    assert truncation.tails(["to R5A"])[1][0] == truncation.tails(["to Z9A"])[1][0]
+
+
 def test_every_query_runs_on_the_smallest_data_and_on_nothing(spark, sf, tmp_path):
     for name in ("chunks", "content_list", "vlm_eval", "toc_tree", "documents", "packages"):
         table(spark, sf, name).limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
