@@ -23,11 +23,13 @@ import sys
 import unicodedata
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import hashing
 from .textio import keyed, map_slices, once
 
 # Latin letters and the Cyrillic and Greek letters that look the same.
@@ -117,7 +119,8 @@ def _machine() -> tuple:
     single = _class(mapping())
     letter = _LATIN + _CYRILLIC + _GREEK
     # What may need work: any mapped character, any accent on its own; two scripts side by side.
-    gate = re.compile(f"[{single}{_MARKS}]")
+    odd = frozenset(mapping()) | frozenset(_expand(_MARKS))
+    others = frozenset(_expand(_CYRILLIC + _GREEK))
     mixed = re.compile(f"[{_LATIN}][{_CYRILLIC}{_GREEK}]|[{_CYRILLIC}][{_LATIN}{_GREEK}]|[{_GREEK}][{_LATIN}{_CYRILLIC}]")
     # A cluster is a character with its accents; a word is a run of letter clusters, with what is invisible inside it.
     hidden = _class(k for k, v in mapping().items() if v == "")
@@ -125,7 +128,7 @@ def _machine() -> tuple:
     word = f"[{letter}{wide}0-9](?:[{_MARKS}{hidden}]*[{letter}{wide}0-9])*[{_MARKS}{hidden}]*"
     whole = regex.compile(f"{word}|.[{_MARKS}]+|[{single}{_MARKS}]", regex.DOTALL)
     cyr, gre = re.compile(f"[{_CYRILLIC}]"), re.compile(f"[{_GREEK}]")
-    return gate, whole, cyr, gre, re.compile(f"[{_CYRILLIC}{_GREEK}]"), mixed
+    return odd, others, whole, cyr, gre, mixed
 
 
 _BACK_CYRILLIC = {b: a for a, b in LATIN_CYRILLIC.items() if a not in "ѕһԁԛԝіјЅІЈЬ"}
@@ -134,7 +137,7 @@ _HAS_LATIN = re.compile(f"[{_LATIN}]")
 
 def _one_script(word: str) -> str:
     """Letters of another script to those of the word's own, which most of its unmistakable letters show."""
-    _, _, cyr, gre, _, _ = _machine()
+    _, _, _, cyr, gre, _ = _machine()
     latin, other = len(_HAS_LATIN.findall(word)), len(cyr.findall(word))
     if gre.search(word) and latin + other > 0:
         greek = sum(1 for c in word if gre.match(c))
@@ -164,14 +167,39 @@ def unify(text: str | None) -> str | None:
     """The consistent form of a text."""
     if not text or text.isascii() and "\t" not in text:
         return text
-    gate, whole, _, _, other, mixed = _machine()
-    if gate.search(text) or other.search(text) and mixed.search(text):
-        return whole.sub(_cluster, text)
-    return text
+    odd, others, whole, _, _, mixed = _machine()
+    signs = set(text)  # far fewer than the text is long, so most texts are settled by it
+    if signs.isdisjoint(odd) and (signs.isdisjoint(others) or not mixed.search(text)):
+        return text
+    # No word reaches over a space.
+    return " ".join([x if x.isascii() and "\t" not in x else whole.sub(_cluster, x) for x in text.split(" ")])
+
+
+@lru_cache(1)
+def _kinds() -> np.ndarray:
+    """Of each code point: 8 if it may need work, else 1, 2 or 4 for a Latin, Cyrillic or Greek letter."""
+    odd = _machine()[0]
+    table = np.zeros(0x110000, np.uint8)
+    for k, letters in ((1, _LATIN), (2, _CYRILLIC), (4, _GREEK)):
+        table[[ord(c) for c in _expand(letters)]] = k
+    table[[ord(c) for c in odd]] = 8
+    return table
 
 
 def unify_all(texts: list[str | None]) -> list[str | None]:
-    return [unify(t) for t in texts]
+    """unify() of many texts; which of them need work is seen for all of them at once."""
+    out = list(texts)
+    filled = [k for k, t in enumerate(out) if t]
+    for a, b in hashing.portions([out[k] for k in filled]):
+        some = [out[k] for k in filled[a:b]]
+        kind = _kinds()[hashing.codes(some)]
+        before, after = kind[:-1], kind[1:]
+        mixed = (before | after > 2) & (before != after) & (before > 0) & (after > 0)  # the last sign of a text may stand beside the first of the next one: no harm
+        hit = np.union1d(np.flatnonzero(kind == 8), np.flatnonzero(mixed))
+        bounds = np.cumsum(np.fromiter(map(len, some), np.int64, len(some)))
+        for k in np.unique(np.searchsorted(bounds, hit, side="right")).tolist():
+            out[filled[a + k]] = unify(some[k])
+    return out
 
 
 _ARROW = pa.schema([("src", pa.string()), ("row_key", pa.string()), ("text", pa.string()), ("changed", pa.bool_())])

@@ -1,9 +1,9 @@
 """Problem 4: noise in text from scanned pages.
 
 Words and pairs of ideographs are counted over all rows. A rare word is held against the
-vocabulary by intersecting its Levenshtein automaton with a trie of the common words, which
-finds every word within the distance; the candidates are ranked by how alike the letters look,
-then by what usually stands beside them. Ideographs are corrected where both pairs they form
+vocabulary by intersecting its Levenshtein automaton with a trie of the common words that share a
+part with it, which finds every word within the distance; the candidates are ranked by how alike
+the letters look, then by what usually stands beside them. Ideographs are corrected where both pairs they form
 are rare and a similar ideograph makes common ones. Then running headers and page numbers are
 taken out, broken words joined, ideographs set together, and the lines reflowed to paragraphs.
 
@@ -22,15 +22,18 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from operator import add
+from functools import cached_property
+from itertools import islice
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import settle
-from .lookalikes import unify
+from . import hashing
+from .lookalikes import unify, unify_all
 from .textio import fold_slices, map_slices, once
 
 #: How much more frequent a word or pair must be than its misreading.
@@ -44,9 +47,9 @@ ALIKE, OTHER, ACCEPT = 0.4, 1.0, 0.8
 SEVERAL = 2
 #: Rows of the correction tables and of the pairs beside tied readings, together, up to which they are broadcast (about 100 bytes each).
 BROADCAST_ROWS = 300_000
-#: Rare words of all lengths that are held against the vocabulary at once, and tasks that share them by length.
-TASK_WORDS = 20_000
-LENGTH_TASKS = 24
+#: Keys of rare words that one task holds against the vocabulary, on average, and the least number of such tasks.
+TASK_WORDS = 50_000
+LEAST_TASKS = 24
 
 # Letters and digits that scanners confuse; of each group any for any other.
 CONFUSED = "ceo0 o0DQO il1I!|tj ft hb g9q s5S z2Z b6 B8 nu uv vy l1I a4 rn| 0О0о сео пнил щшц зэ3 бб6 гт ьъы кх ао".split()
@@ -68,6 +71,7 @@ _HANS = re.compile(r"[一-鿿㐀-䶿]+")
 _HAN = re.compile(r"[一-鿿㐀-䶿]").match
 _NONE: dict[int, str] = {}
 _SPACED = re.compile(r"(?:[一-鿿㐀-䶿][  　]){3,}[一-鿿㐀-䶿]")
+_TWO_APART = re.compile(r" [一-鿿㐀-䶿] [一-鿿㐀-䶿]")  # begins with a sign that can be looked up fast
 _APART = re.compile(r"(?<=[一-鿿㐀-䶿，。、；：！？（）《》“”])[  　]+(?=[一-鿿㐀-䶿，。、；：！？（）《》“”0-9A-Za-z])|(?<=[0-9A-Za-z%°Ω])[  　]+(?=[一-鿿㐀-䶿，。、；：！？])")
 _BROKEN = re.compile(r"([^\W\d_]{1,})[-‐­¬][ \t]*\r?\n[ \t]*([^\W\d_]+)")
 #: Words that follow a hyphen of their own after a line end, as in "Vorder-\nund Hinterrad". Fixed values.
@@ -138,40 +142,75 @@ def _titled(before: str, after: str, inside: bool) -> bool:
 
 
 class Tally:
-    """Rows in which each word and each pair of ideographs stands."""
+    """Rows in which each word and each pair of ideographs stands; words by their hashes, with one reading each."""
 
     def __init__(self) -> None:
         self.words: Counter = Counter()
+        self.names: dict[int, str] = {}
         self.pairs: Counter = Counter()
 
     def __len__(self) -> int:
         return len(self.words) + len(self.pairs)
 
 
+def pair_codes(u: hashing.Units, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of neighbouring ideographs as numbers, and the text of each."""
+    if len(u.start) < 2:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    k = np.flatnonzero(u.sign[1:] & u.sign[:-1] & (np.diff(u.start) == 1) & (u.doc[1:] == u.doc[:-1]))
+    a, b = u.start[k], u.start[k + 1]
+    return code[a].astype(np.uint64) << np.uint64(21) | code[b].astype(np.uint64), u.doc[k]
+
+
 def _count(state: Tally, rows: dict[str, list]) -> None:
-    for parts in rows["parts"]:
-        words: set[str] = set()
-        pairs: set[str] = set()
+    texts: list[str] = []
+    owner: list[int] = []
+    for k, parts in enumerate(rows["parts"]):
         for part in parts or ():
-            if not part:
-                continue
-            text = unify(part)
-            if not text.isascii():
-                if _SPACED.search(text):
-                    text = _APART.sub("", text)
-                for run in _HANS.findall(text):
-                    pairs.update(map(add, run, run[1:]))
-            words.update(_WORD.findall(text))
-        state.words.update(words)
-        state.pairs.update(pairs)
+            if part:
+                texts.append(part)
+                owner.append(k)
+    texts = [_APART.sub("", t) if _spaced(t) else t for t in unify_all(texts)]
+    for a, b in _portions(owner, texts):
+        _count_rows(state, texts[a:b], np.array(owner[a:b]))
+
+
+def _portions(owner: list[int], texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Portions of the texts that keep the texts of a row together."""
+    at = 0
+    for _, b in hashing.portions(texts):
+        while b < len(owner) and owner[b] == owner[b - 1]:
+            b += 1
+        if b > at:
+            yield at, b
+            at = b
+
+
+def _count_rows(state: Tally, texts: list[str], row: np.ndarray) -> None:
+    u = hashing.units(texts)
+    word = np.flatnonzero(~u.sign & (u.size >= LEAST_LETTERS))
+    if len(word):
+        word = word[hashing.once_each(u.hash[word], row[u.doc[word]])]
+        key, at, n = np.unique(u.hash[word], return_index=True, return_counts=True)
+        whole = "".join(texts)
+        for h, i, m in zip(key.tolist(), word[at].tolist(), n.tolist()):
+            if h not in state.names:
+                state.names[h] = whole[u.start[i] : u.start[i] + u.size[i]]
+            state.words[h] += m
+    pair, doc = pair_codes(u, hashing.codes(texts))
+    if len(pair):
+        pair = pair[hashing.once_each(pair, row[doc])]
+        key, n = np.unique(pair, return_counts=True)
+        for h, m in zip(key.tolist(), n.tolist()):
+            state.pairs[h] += m
 
 
 def _tallied(state: Tally) -> Iterator[pa.RecordBatch]:
     """Keys are words after 'w' and pairs after 'z'."""
-    for sign, counter in (("w", state.words), ("z", state.pairs)):
-        got = [(sign + k, n) for k, n in counter.items() if sign == "z" or len(k) >= LEAST_LETTERS]
-        if got:
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in got], pa.string()), pa.array([n for _, n in got], pa.int64())], names=["key", "n"])
+    got = [("w" + state.names[h], n) for h, n in state.words.items()]
+    got += [(f"z{chr(h >> 21)}{chr(h & 0x1FFFFF)}", n) for h, n in state.pairs.items()]
+    if got:
+        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in got], pa.string()), pa.array([n for _, n in got], pa.int64())], names=["key", "n"])
 
 
 def _counted(state: Counter) -> Iterator[pa.RecordBatch]:
@@ -266,36 +305,92 @@ def unlikeness(read: str, meant: str) -> float:
     return cost[n][m]
 
 
+def segments(length: int, edits: int) -> list[tuple[int, int]]:
+    """(start, size) of the edits + 1 parts of a word of this length; so many edits leave one of them whole."""
+    small, more = divmod(length, edits + 1)
+    out, at = [], 0
+    for k in range(edits + 1):
+        size = small + (k > edits - more)
+        out.append((at, size))
+        at += size
+    return out
+
+
+def index_keys(word: str) -> list[str]:
+    """Under what a word of the vocabulary is found: each of its parts, with its number and the word's length."""
+    n = len(word)
+    return [f"{e}{k} {n} {word[at : at + size]}" for e in (1, 2) if (n < TWO_EDITS + 1 if e == 1 else n >= TWO_EDITS - 2) for k, (at, size) in enumerate(segments(n, e))]
+
+
+def probe_keys(word: str) -> list[str]:
+    """Under what the words within the edits of a rare word are looked up.
+
+    The k-th part of a word that is whole in the rare word stands there at its own place, moved by
+    as many edits as may be before it (k) and after it (edits - k).
+    """
+    m, e = len(word), 2 if len(word) >= TWO_EDITS else 1
+    out = []
+    for n in range(max(LEAST_LETTERS - 1, m - e), m + e + 1):
+        gap = m - n
+        for k, (at, size) in enumerate(segments(n, e)):
+            first, last = max(0, at - k, at + gap - (e - k)), min(m - size, at + k, at + gap + (e - k))
+            out += {f"{e}{k} {n} {word[x : x + size]}" for x in range(first, last + 1)}
+    return out
+
+
+_KEYED_SQL = "key string, word string, n long"
+_KEYED = pa.schema([("key", pa.string()), ("word", pa.string()), ("n", pa.int64())])
+
+
+def _keyed(keys_of):
+    def run(rows: dict[str, list]) -> dict[str, list]:
+        got = [(k, w, n) for w, n in zip(rows["word"], rows["n"]) for k in keys_of(w)]
+        return {name: [g[i] for g in got] for i, name in enumerate(("key", "word", "n"))}
+
+    return run
+
+
 def _search(rare: pd.DataFrame, common: pd.DataFrame) -> pd.DataFrame:
-    out: list[tuple] = []
+    """The accepted readings of the rare words under each key, by the automaton of each on the trie of the key's vocabulary."""
+    out: set[tuple] = set()
     if len(rare) and len(common):
-        freq = dict(zip(common["word"], common["n"]))
-        trie = build_trie(freq)
-        for word, n in zip(rare["word"], rare["n"]):
-            for v in within(trie, word, 2 if len(word) >= TWO_EDITS else 1):
-                if v.lower() != word.lower() and freq[v] >= RATIO * n and (c := unlikeness(word, v)) <= ACCEPT:
-                    out.append((word, v, float(c), int(freq[v])))
-    return pd.DataFrame(out, columns=["word", "meant", "cost", "n"])
+        asked: dict[str, list[tuple[str, int]]] = defaultdict(list)
+        for key, word, n in zip(rare["key"], rare["word"], rare["n"]):
+            asked[key].append((word, n))
+        known: dict[str, dict[str, int]] = defaultdict(dict)
+        for key, word, n in zip(common["key"], common["word"], common["n"]):
+            if key in asked:
+                known[key][word] = n
+        for key, freq in known.items():
+            trie = build_trie(freq)
+            for word, n in asked[key]:
+                for v in within(trie, word, 2 if len(word) >= TWO_EDITS else 1):
+                    if v.lower() != word.lower() and freq[v] >= RATIO * n and (word, v) not in out and (c := unlikeness(word, v)) <= ACCEPT:
+                        out.add((word, v, float(c), int(freq[v])))
+    return pd.DataFrame(sorted(out), columns=["word", "meant", "cost", "n"])
 
 
 def word_fixes(stats: DataFrame) -> DataFrame:
     """(word, meant, cost, n): every accepted reading of the rare words.
 
-    Words meet the vocabulary by length, the rare ones once for each length that their edits
-    can reach and dealt over enough groups that none holds more than about TASK_WORDS of them.
+    A rare word meets only the words of the vocabulary that share a part with it, as all within its
+    edits do; both come under a few keys each. The keys share the tasks by their hash, and a key
+    under which many rare words stand is dealt over several of them.
     """
-    w = stats.where(F.col("key").startswith("w")).select(F.substring("key", 2, 1000).alias("word"), "n")
+    w = stats.where(F.col("key").startswith("w")).select(F.expr("substring(key, 2)").alias("word"), "n")
     common = w.where((F.col("n") >= RATIO) & F.col("word").rlike(r"^[^\d]+$"))
     top = common.agg(F.max("n")).first()[0]
     rare = w.where((F.col("n") * RATIO <= F.lit(top or 0)) & (F.length("word") >= LEAST_LETTERS) & (F.length(F.regexp_replace("word", r"\d", "")) >= F.length("word") - 2) & F.col("word").rlike(r"\p{Ll}"))
-    rare = rare.withColumn("reach", F.when(F.length("word") >= TWO_EDITS, 2).otherwise(1))
-    groups = 1 + rare.count() // TASK_WORDS
-    rare = rare.withColumn("len", F.explode(F.sequence(F.length("word") - F.col("reach"), F.length("word") + F.col("reach")))).withColumn("deal", F.pmod(F.xxhash64("word"), F.lit(groups)))
-    common = common.withColumn("len", F.length("word")).withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
+    asked = settle(map_slices(rare, _keyed(probe_keys), _KEYED_SQL, _KEYED))
+    known = map_slices(common, _keyed(index_keys), _KEYED_SQL, _KEYED)
+    hot = asked.groupBy(F.col("key").alias("h_key")).agg(F.count("*").alias("words")).where(F.col("words") > TASK_WORDS).select("h_key", F.ceil(F.col("words") / TASK_WORDS).alias("deals"))
+    deals = F.coalesce("deals", F.lit(1))
+    asked = asked.join(hot, F.col("key") == F.col("h_key"), "left").withColumn("deal", F.pmod(F.xxhash64("word"), deals))
+    known = known.join(hot, F.col("key") == F.col("h_key"), "left").withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), deals - 1)))
     # So many partitions by name: small as they are in bytes, adaptive execution would put them into one task.
-    n = LENGTH_TASKS * groups
-    pairs = rare.select("word", "n", "len", "deal").repartition(n, "len", "deal").groupBy("len", "deal").cogroup(common.repartition(n, "len", "deal").groupBy("len", "deal"))
-    return pairs.applyInPandas(_search, "word string, meant string, cost double, n long")
+    tasks = LEAST_TASKS + asked.count() // TASK_WORDS
+    sides = [x.select("key", "word", "n", F.pmod(F.xxhash64("key", "deal"), F.lit(tasks)).alias("task")).repartition(tasks, "task").groupBy("task") for x in (asked, known)]
+    return sides[0].cogroup(sides[1]).applyInPandas(_search, "word string, meant string, cost double, n long").distinct()
 
 
 _SIMILAR_OF: dict[str, list[int]] = defaultdict(list)
@@ -347,12 +442,11 @@ def context(texts: DataFrame, meant: set[str] | None) -> DataFrame:
     def count(state: Counter, rows: dict[str, list]) -> None:
         wanted = shared.value
         few = list(wanted) if wanted is not None and len(wanted) <= 64 else None
-        for parts in rows["parts"]:
+        filled = [[p for p in parts or () if p] for parts in rows["parts"]]
+        texts = iter(unify_all([p for parts in filled for p in parts]))  # spaces beside ideographs part no words of their own, so they can stay
+        for parts in filled:
             seen: set[str] = set()
-            for part in parts or ():
-                if not part:
-                    continue
-                text = unify(part)  # spaces beside ideographs part no words of their own, so they can stay
+            for text in islice(texts, len(parts)):
                 if few and not any(w in text for w in few):
                     continue
                 words = _WORD.findall(text)
@@ -385,6 +479,14 @@ class Fixes:
         self.words, self.signs, self.beside = words, signs, beside
         self.odd = re.compile("[" + "".join(sorted({p[k] for p, places in signs.items() for k in places})) + "]") if signs else None
 
+    @cached_property
+    def word_keys(self) -> np.ndarray:
+        return np.sort(hashing.word_hash(list(self.words)))
+
+    @cached_property
+    def pair_keys(self) -> np.ndarray:
+        return np.array(sorted(ord(p[0]) << 21 | ord(p[1]) for p in self.signs), np.uint64)
+
     def word(self, word: str, before: str, after: str) -> str:
         got = self.words[word]
         if len(got) == 1:
@@ -430,9 +532,13 @@ def fix_signs(text: str, fixes: Fixes) -> tuple[str, int]:
     return "".join(new.get(k, c) for k, c in enumerate(text)), len(new)
 
 
-def prepared(text: str, model: str | None = None) -> tuple[str, bool]:
-    """The text in which words and ideographs are corrected, without furniture and broken words, and whether it had any."""
-    body = unify(text)
+def _spaced(text: str) -> bool:
+    """Whether ideographs of a unified text are set apart by spaces."""
+    return not text.isascii() and _TWO_APART.search(text) is not None and _SPACED.search(text) is not None
+
+
+def prepared(body: str, model: str | None = None) -> tuple[str, bool]:
+    """Of a unified text: the text in which words and ideographs are corrected, without furniture and broken words, and whether it had any."""
     lines = body.split("\n")
     odd = [False]
     if len(lines) > 1 or len(body) <= 70:
@@ -475,7 +581,7 @@ def prepared(text: str, model: str | None = None) -> tuple[str, bool]:
 
     if "\n" in body and _HYPHEN_END.search(body):
         body = _BROKEN.sub(join, body)
-    apart = not body.isascii() and _SPACED.search(body) is not None
+    apart = _spaced(body)
     if apart:
         body = _APART.sub("", body)
     return body, noisy or broken > 0 or apart
@@ -483,13 +589,19 @@ def prepared(text: str, model: str | None = None) -> tuple[str, bool]:
 
 def mend(text: str, fixes: Fixes, model: str | None = None, full: bool = True) -> tuple[list[str], bool]:
     """The paragraphs of a text and whether it had noise; without ``full`` the paragraphs aren't made."""
-    body, noisy = prepared(text, model)
+    body, noisy = prepared(unify(text), model)
+    body, hits = corrected(body, fixes)
+    noisy = noisy or hits >= SEVERAL
+    return reflow(body, noisy) if full else [], noisy
+
+
+def corrected(body: str, fixes: Fixes) -> tuple[str, int]:
+    """A text with its ideographs and words corrected, and how many were."""
     hits = 0
     if not body.isascii():
         body, hits = fix_signs(body, fixes)
     body, n = fix_words(body, fixes)
-    noisy = noisy or hits + n >= SEVERAL
-    return reflow(body, noisy) if full else [], noisy
+    return body, hits + n
 
 
 def reflow(body: str, wrapped: bool) -> list[str]:
@@ -514,7 +626,63 @@ def reflow(body: str, wrapped: bool) -> list[str]:
     return out
 
 
-def _mender(fixes_of, full: bool):
+def _found(texts: list[str], fixes: Fixes) -> np.ndarray:
+    """Which texts have a word or pair of ideographs that the corrections name."""
+    hit = np.zeros(len(texts), bool)
+    for a, b in hashing.portions(texts):
+        u = hashing.units(texts[a:b])
+        hit[a + np.unique(u.doc[~u.sign][np.isin(u.hash[~u.sign], fixes.word_keys)])] = True
+        pair, doc = pair_codes(u, hashing.codes(texts[a:b]))
+        hit[a + np.unique(doc[np.isin(pair, fixes.pair_keys)])] = True
+    return hit
+
+
+def _mender(shared, full: bool):
+    """Repair a batch with corrections that all its rows share: only texts in which they can apply are read word by word."""
+
+    def run(rows: dict[str, list]) -> dict[str, list]:
+        fixes: Fixes = shared.value
+        noise = [False] * len(rows["parts"])
+        hits = [0] * len(noise)
+        paragraphs: list[list[str]] = [[] for _ in noise]
+        at: list[int] = []
+        raw: list[str] = []
+        bodies: list[str] = []
+        dirty: list[bool] = []
+        for k, parts in enumerate(rows["parts"]):
+            for p in parts or ():
+                if p:
+                    at.append(k)
+                    raw.append(p)
+        for k, p in zip(at, unify_all(raw)):
+            body, noisy = prepared(p, rows["model"][k])
+            noise[k] = noise[k] or noisy
+            bodies.append(body)
+            dirty.append(noisy)
+        known = _found(bodies, fixes).tolist()
+        # Elements are also counted together, as they stand.
+        single = [len(rows["parts"][k]) == 1 for k in at]
+        also = _found(["" if one else p for one, p in zip(single, raw)], fixes).tolist()
+        for k, p, body, noisy, apply, count in zip(at, raw, bodies, dirty, known, also):
+            if not full and noise[k]:
+                continue
+            if apply:
+                body, n = corrected(body, fixes)
+                noisy = noisy or n >= SEVERAL
+            if count and not noisy:
+                hits[k] += corrected(p, fixes)[1]
+            if full:
+                paragraphs[k] += reflow(body, noisy)
+            noise[k] = noise[k] or noisy or hits[k] >= SEVERAL
+        out = {"src": rows["src"], "row_key": rows["row_key"], "noisy": noise}
+        return out | {"paragraphs": paragraphs} if full else out
+
+    return run
+
+
+def _mender_alone(fixes_of, full: bool):
+    """Repair rows that each bring their own corrections."""
+
     def run(rows: dict[str, list]) -> dict[str, list]:
         paragraphs, noise = [], []
         for k, parts in enumerate(rows["parts"]):
@@ -527,7 +695,7 @@ def _mender(fixes_of, full: bool):
                     got += new
                     bad = bad or b
                     if not b and len(parts) > 1:
-                        hits += fix_words(p, fixes)[1] + fix_signs(p, fixes)[1]
+                        hits += corrected(p, fixes)[1]
             paragraphs.append(got)
             noise.append(bad or hits >= SEVERAL)
         out = {"src": rows["src"], "row_key": rows["row_key"], "noisy": noise}
@@ -550,7 +718,7 @@ def _joined(texts: DataFrame, words: DataFrame, signs: DataFrame, beside: DataFr
             seen: dict[str, tuple[set, set]] = defaultdict(lambda: (set(), set()))
             for p in parts or ():
                 if p:
-                    body = prepared(p, model)[0]
+                    body = prepared(unify(p), model)[0]
                     found = _WORD.findall(body)
                     for k, w in enumerate(found):
                         if len(w) >= LEAST_LETTERS:
@@ -607,7 +775,7 @@ def mended(texts: DataFrame, full: bool, broadcast_rows: int = BROADCAST_ROWS) -
                     z[x["token"]][y["place"]] = y["meant"]
             return Fixes(w, z, {x["pair"]: x["n"] for x in rows["beside"][k] or ()})
 
-        return _joined(texts, words, signs, beside, _mender(own, full), schema, arrow)
+        return _joined(texts, words, signs, beside, _mender_alone(own, full), schema, arrow)
 
     n = words.count() + signs.count()
     if n > broadcast_rows:
@@ -627,7 +795,7 @@ def mended(texts: DataFrame, full: bool, broadcast_rows: int = BROADCAST_ROWS) -
             return by_join(near)
         beside = dict(near.collect())
     shared = texts.sparkSession.sparkContext.broadcast(Fixes(dict(table), dict(pairs), beside))
-    return map_slices(texts, _mender(lambda rows, k: shared.value, full), schema, arrow)
+    return map_slices(texts, _mender(shared, full), schema, arrow)
 
 
 def inputs(chunks: DataFrame, vlm_eval: DataFrame, packages: DataFrame) -> DataFrame:

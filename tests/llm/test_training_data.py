@@ -258,6 +258,39 @@ def test_retrieval_is_complete():
             assert sorted(scans.within(trie, w, k)) == sorted(v for v in words if levenshtein(w, v) <= k)
 
 
+def test_words_within_their_edits_share_a_key():
+    r = random.Random(5)
+    for _ in range(4000):
+        v = "".join(r.choice("abc") for _ in range(r.randint(4, 11)))
+        w = v
+        for _ in range(r.randint(1, 2)):
+            k = r.randrange(len(w) + 1)
+            w = r.choice([w[:k] + r.choice("abc") + w[k:], w[:k] + w[k + 1 :], w[:k] + r.choice("abc") + w[k + 1 :]])
+        if len(w) >= scans.LEAST_LETTERS and levenshtein(w, v) <= (2 if len(w) >= scans.TWO_EDITS else 1):
+            assert set(scans.index_keys(v)) & set(scans.probe_keys(w)), (v, w)
+
+
+def test_word_fixes_match_brute_force(spark):
+    r = random.Random(6)
+    common = {"".join(r.choice("celou") for _ in range(r.randint(4, 9))): r.randint(20, 90) for _ in range(150)}
+    alike = {"c": "eo", "e": "co", "l": "1i", "o": "0c", "u": "vn"}
+    rare = {}
+    for w in sorted(common) * 3:
+        for k in r.sample(range(len(w)), r.randint(1, 2)):
+            w = w[:k] + r.choice(alike.get(w[k], "x")) + w[k + 1 :]
+        rare[w] = r.randint(1, 3)
+    stats = spark.createDataFrame([("w" + w, n) for w, n in {**rare, **common}.items()], "key string, n long")
+    got = {(x["word"], x["meant"]) for x in scans.word_fixes(stats).collect()}
+    every = {**rare, **common}
+    want = set()
+    for w, n in every.items():
+        if n * scans.RATIO <= max(every.values()) and sum(c.isdigit() for c in w) <= 2:
+            for v, m in common.items():
+                if v.isalpha() and v != w and m >= scans.RATIO * n and levenshtein(w, v) <= (2 if len(w) >= scans.TWO_EDITS else 1) and scans.unlikeness(w, v) <= scans.ACCEPT:
+                    want.add((w, v))
+    assert got == want and want
+
+
 @pytest.mark.parametrize("line, is_furniture", [("207", True), ("· 9 ·", True), ("Page 3 of 12", True), ("第 9 页", True), ("Kapitel 4 | Marlo-530GT-1A   7", True), ("10W40", False), ("17 V / 26 A", False), ("T39A: K87E", False), ("Clutch cover: 7 mL", False), ("O-ring 10x1.5", False), ("", False)])
 def test_furniture(line, is_furniture):
     assert scans.furniture(line, "Velora-250R") is is_furniture
