@@ -30,14 +30,18 @@ from pyspark.sql import functions as F
 from .boosting import Boosted
 from .textio import keyed, map_slices, once
 
-SAMPLE_TEXTS = 6000
+SAMPLE_TEXTS = 8000
 SEED = 20
 #: Rounds and depth of the trees.
-ROUNDS, DEPTH = 50, 5
+ROUNDS, DEPTH = 60, 5
+
+#: Signs nested in one line deeper than this are read as plain text; tags may be nested to any depth.
+INLINE_DEPTH = 100
 
 _GATE = re.compile(r"[<&*#`\[{\\$|~_]|^[ \t]*>|^==|''|^-{3,}[ \t]*$", re.M)
 _NODE = re.compile(
-    r"""(?P<comment><!--.*?(?:-->|\Z))
+    # Every alternative begins with one of these signs or at the start of a line.
+    r"""(?:(?=[<&*\#`\[!{\\$|~_'=]|[ \t]+&)|^)(?:(?P<comment><!--.*?(?:-->|\Z))
     |(?P<fence>^[ \t]*(?P<tick>```|~~~)[^\n`]*\n(?P<fenced>.*?)(?:^[ \t]*(?P=tick)[ \t]*$|\Z))
     |(?P<autolink><(?:https?|mailto|ftp):[^<>\s]*>)
     |(?P<tag><(?P<slash>/?)(?P<name>[A-Za-z][\w:-]*)(?P<attrs>(?:\s[^<>]*)?)(?P<self>/?)>)
@@ -51,7 +55,7 @@ _NODE = re.compile(
     |(?P<quote>^[ \t]{0,3}(?:>[ \t]?)+(?=\S))
     |(?P<rule>^[ \t]*(?:-{3,}|\*{3,}|_{3,})[ \t]*$)
     |(?P<mathblock>\$\$.+?\$\$|\\\[.+?\\\])
-    |(?P<math>\\\([^\n]+?\\\)|(?<![\\\w$])\$(?=[^\s$])[^$\n]{1,200}?(?<=[^\s\\])\$(?![\w$]))
+    |(?P<math>\\\([^\n]+?\\\)|(?<![\\A-Za-z0-9_$])\$(?=[^\s$])[^$\n]+?(?<=[^\s\\])\$(?![A-Za-z0-9_$]))
     |(?P<env>\\(?P<be>begin|end)\{(?P<envname>[A-Za-z]+\*?)\}(?:\{[^{}\n]*\})?)
     |(?P<tex>~?\\(?P<cmd>[A-Za-z]+)\*?(?P<args>(?:\[[^\]\n]*\])?(?:\{(?:[^{}\n]|\{[^{}\n]*\})*\})*))
     |(?P<texrow>[ \t]*&[^\n&]*(?:&[^\n&]*)*\\\\[ \t]*$|\\\\[ \t]*$)
@@ -61,16 +65,17 @@ _NODE = re.compile(
     |(?P<link>\[(?P<label>[^\[\]\n]+)\]\((?P<href>[^()\s]+)\))
     |(?P<footnote>\[\^[\w-]+\]:?)
     |(?P<code>(?P<bt>`{1,2})(?!`)(?P<inner>[^\n]+?)(?<!`)(?P=bt)(?!`))
-    |(?P<strong>(?P<st>\*{1,3}|_{1,3}|~~|'{2,5})(?=[^\s*_~'])(?P<mid>[^\n]{0,300}?[^\s*_~'])(?P=st)(?![*_~']))
+    |(?P<strong>(?P<st>\*{1,3}|(?<![A-Za-z0-9À-ɏЀ-ԯ](?=_{1,3}[A-Za-z0-9À-ɏЀ-ԯ]))_{1,3}|~~|'{2,5})(?=[^\s*_~'])(?P<mid>[^\n]*?[^\s*_~'])(?P=st)(?![*_~'])(?!(?:(?<=[A-Za-z0-9À-ɏЀ-ԯ]_)|(?<=[A-Za-z0-9À-ɏЀ-ԯ]__)|(?<=[A-Za-z0-9À-ɏЀ-ԯ]___))[A-Za-z0-9À-ɏЀ-ԯ]))
     |(?P<escape>\\[*_\#`\[\]{}|>~$%&])
-    |(?P<stray>\*{2,3}|~~|`{3})
+    |(?P<stray>\*{2,3}|~~|`{3}))
     """,
     re.X | re.M | re.S,
 )
 
+#: Kinds that are nearly always markup stand first, so that few splits of a tree tell them from the doubtful ones.
 KINDS = [
-    "comment", "fence", "autolink", "tag", "entity", "wikitable", "wikirow", "piperow", "pipecell", "mdhead", "wikihead", "quote", "rule", "mathblock", "math",
-    "env", "tex", "texrow", "image", "wikilink", "template", "link", "footnote", "code", "strong", "escape", "stray",
+    "comment", "fence", "mdhead", "wikihead", "mathblock", "env", "image", "wikilink", "template", "link", "footnote", "code", "autolink", "wikitable", "wikirow", "piperow", "texrow",
+    "math", "tex", "entity", "strong", "tag", "escape", "stray", "quote", "rule", "pipecell",
 ]
 _KIND = {k: i for i, k in enumerate(KINDS)}
 _FAMILY = {"comment": 0, "tag": 0, "entity": 0, "autolink": 1, "wikitable": 2, "wikirow": 2, "wikihead": 2, "wikilink": 2, "template": 2, "pipecell": 2, "mathblock": 3, "math": 3, "env": 3, "tex": 3, "texrow": 3}
@@ -83,24 +88,26 @@ HEAD_TAGS = {f"h{k}" for k in range(1, 7)}
 CODE_TAGS = {"pre", "code", "math", "nowiki"}
 DROP_TAGS = {"script", "style"}
 VOID_TAGS = {"br", "hr", "img", "input", "wbr", "col", "meta", "link"}
+_OTHER_BLOCKS = BLOCK_TAGS | HEAD_TAGS | {"li"}
 KNOWN_TAGS = BLOCK_TAGS | INLINE_TAGS | GRID_TAGS | HEAD_TAGS | CODE_TAGS | DROP_TAGS | {"li"}
 # LaTeX commands by what is done with their arguments.
 HEAD_COMMANDS = {"part", "chapter", "section", "subsection", "subsubsection", "paragraph", "subparagraph", "title", "caption"}
 GONE_COMMANDS = {"cite", "citep", "citet", "label", "ref", "eqref", "pageref", "index", "vspace", "hspace", "includegraphics", "footnotemark", "hline", "toprule", "midrule", "bottomrule", "centering", "newpage", "noindent", "usepackage", "documentclass", "maketitle", "bibliography", "input"}
 CODE_ENVS = {"verbatim", "lstlisting", "equation", "equation*", "align", "align*", "math", "displaymath", "minted"}
 
-# Signs that hold a block's kind while a text is rewritten; from the private use area, and taken out of the input.
-_HEAD, _ITEM, _CODE, _UNCODE, _MATH, _UNMATH, _CELL, _ROW, _FIELD = map(chr, range(0xE000, 0xE009))
-_OWN = re.compile("[\ue000-\ue00f]")
+# Signs that hold a block's kind while a text is rewritten: half surrogates, which no text from a table can hold.
+_HEAD, _ITEM, _CODE, _UNCODE, _MATH, _UNMATH, _CELL, _ROW = map(chr, range(0xD800, 0xD808))
+_OWN = dict.fromkeys(range(0xD800, 0xD808))
 _GRID = re.compile(r"</?(?:table|thead|tbody|tfoot|tr|td|th)\b[^<>]*>?", re.I)
 
 
 class Node:
-    __slots__ = ("kind", "s", "e", "inner", "name", "attrs", "close", "children", "depth", "paired", "m", "chosen", "odds", "end_tag")
+    __slots__ = ("kind", "s", "e", "inner", "name", "attrs", "close", "children", "depth", "paired", "m", "chosen", "odds", "end_tag", "parent", "best", "soft")
 
     def __init__(self, kind, s, e, depth, name="", attrs="", inner=None, m=None, end_tag=False):
         self.kind, self.s, self.e, self.depth, self.name, self.attrs, self.inner, self.m = kind, s, e, depth, name, attrs, inner, m
-        self.close, self.children, self.paired, self.chosen, self.odds, self.end_tag = None, [], False, False, 0.0, end_tag
+        self.close, self.children, self.paired, self.chosen, self.odds, self.end_tag, self.parent = None, [], False, False, 0.0, end_tag, None
+        self.best = self.soft = 0.0  # of decode(): the odds of the node's subtree, and of what still counts of its children inside code
 
     @property
     def stop(self) -> int:
@@ -137,7 +144,7 @@ def _scan(text: str, at: int, stop: int, depth: int) -> list[Node]:
 
 def _scan_inline(text: str, a: int, b: int, depth: int) -> list[Node]:
     """Nodes within a node; ^ matches only at the starts of real lines."""
-    return _scan(text, a, b, depth) if depth < 12 and _GATE.search(text, a, b) else []
+    return _scan(text, a, b, depth) if depth < INLINE_DEPTH and _GATE.search(text, a, b) else []
 
 
 def tree(text: str) -> list[Node]:
@@ -146,50 +153,50 @@ def tree(text: str) -> list[Node]:
 
 
 def _pair(flat: list[Node]) -> list[Node]:
-    root: list[Node] = []
+    """The tree of nodes in the order of the text, in one pass.
+
+    The open nodes of each kind and name are kept, so that an end finds its beginning at once. A
+    tag that is never closed holds nothing: its children stand beside it.
+    """
     stack: list[Node] = []
+    open_at: dict[tuple[str, str], list[int]] = {}
+    order: list[Node] = []
+
+    def shut(k: int) -> None:
+        for n in stack[k:]:
+            open_at[n.kind, n.name.lower()].pop()
+        del stack[k:]
+
     for node in flat:
         if node.children:
             node.children = _pair(node.children)
+        name = node.name.lower()
         if node.end_tag:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].kind == node.kind and stack[k].name.lower() == node.name.lower():
-                    stack[k].close, stack[k].paired = (node.s, node.e), True
-                    del stack[k:]
-                    break
+            at = open_at.get((node.kind, name))
+            if at:
+                stack[at[-1]].close, stack[at[-1]].paired = (node.s, node.e), True
+                shut(at[-1])
             else:
-                (stack[-1].children if stack else root).append(node)
+                node.parent = stack[-1] if stack else None
+                order.append(node)
             continue
-        (stack[-1].children if stack else root).append(node)
         node.depth += len(stack)
-        opens = node.kind == "env" or node.kind == "tag" and not node.m.group("self") and node.name.lower() not in VOID_TAGS
+        opens = node.kind == "env" or node.kind == "tag" and not node.m.group("self") and name not in VOID_TAGS
+        if opens and node.kind == "tag" and name == "li":
+            at = open_at.get(("tag", "li"))
+            if at and at[-1] > max(open_at.get(("tag", x), [-1])[-1] if open_at.get(("tag", x)) else -1 for x in ("ul", "ol")):
+                shut(at[-1])
+        node.parent = stack[-1] if stack else None
+        order.append(node)
         if opens:
-            if node.kind == "tag" and node.name.lower() == "li":
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k].kind == "tag" and stack[k].name.lower() in ("ul", "ol"):
-                        break
-                    if stack[k].kind == "tag" and stack[k].name.lower() == "li":
-                        moved = stack[k].children.pop()
-                        del stack[k:]
-                        (stack[-1].children if stack else root).append(moved)
-                        break
+            open_at.setdefault((node.kind, name), []).append(len(stack))
             stack.append(node)
-    # A tag that is never closed holds nothing: its children stand beside it.
-    return _lift(root)
-
-
-def _lift(nodes: list[Node]) -> list[Node]:
-    out = []
-    for n in nodes:
-        n_children = _lift(n.children) if n.kind in ("tag", "env") else n.children
-        if n.kind in ("tag", "env") and not n.paired and n_children:
-            n.children = []
-            out.append(n)
-            out += n_children
-        else:
-            n.children = n_children
-            out.append(n)
-    return out
+    root: list[Node] = []
+    for n in order:
+        if n.parent and not n.parent.paired:
+            n.parent = n.parent.parent  # the parent stands before its children, so its own is settled
+        (n.parent.children if n.parent else root).append(n)
+    return root
 
 
 def _char(text: str, at: int) -> int:
@@ -206,50 +213,81 @@ def _char(text: str, at: int) -> int:
 
 
 def walk(nodes: list[Node]):
-    for n in nodes:
+    """All nodes, each before its children."""
+    todo = nodes[::-1]
+    while todo:
+        n = todo.pop()
         yield n
-        yield from walk(n.children)
+        todo += n.children[::-1]
 
 
-FEATURES = 24
+FEATURES = 25
+#: Numbers of nodes from here on mean the same, so that texts with more signs than the sample has are judged alike.
+FEW = 5
+#: Likewise the logarithm of a length, and a number of words.
+LONG, WORDY = 5.0, 12
+
+
+@lru_cache(1)
+def _signs() -> np.ndarray:
+    """Of each code point: 1 for a blank, 2 for a digit, 4 for a sign that is frequent in commands and formulas."""
+    table = np.zeros(0x110000, np.uint8)
+    for c in range(0x110000):
+        x = chr(c)
+        if x.isspace():
+            table[c] = 1
+        elif x.isdigit():
+            table[c] = 2
+    table[[ord(c) for c in "{=\\^"]] = 4
+    return table
 
 
 def features(text: str, nodes: list[Node], out: list[list[float]], order: list[Node]) -> None:
-    """Append a row of features for each node of the tree, in the order of walk()."""
+    """Append a row of features for each node of the tree, in the order of walk().
+
+    What is counted inside a node comes from sums over the text up to each place, so the work
+    grows with the text and its nodes, however deep they are.
+    """
     every = list(walk(nodes))
     kinds: dict[str, int] = {}
     family: dict[int, int] = {}
+    same: dict[tuple, int] = {}
     for n in every:
         kinds[n.kind] = kinds.get(n.kind, 0) + 1
         f = _FAMILY.get(n.kind, 1)
         family[f] = family.get(f, 0) + 1
-
-    def visit(group: list[Node]) -> None:
-        same: dict[tuple, int] = {}
-        for n in group:
-            same[n.kind, n.name] = same.get((n.kind, n.name), 0) + 1
+    ids: dict[int, int] = {}
+    within = dict.fromkeys(map(id, nodes), False)  # whether an ancestor would make the node literal
+    for group, mute in ((nodes, False), *((n.children, n) for n in every)):
+        mute = mute and (within[id(mute)] or _closed(mute))
         for n in group:
-            low = n.name.lower()
-            a, b = n.inner or ((n.e, n.close[0]) if n.close else (n.s + 1, n.e - 1))
-            inner = text[a:b] if b - a < 400 else text[a : a + 400]
-            marks = sum(c.stop - c.s for c in n.children)
-            known = 3 if low in GRID_TAGS else 2 if low in BLOCK_TAGS | HEAD_TAGS | {"li"} else 1 if low in KNOWN_TAGS else 0
-            if n.kind == "tex":
-                known = 2 if low in HEAD_COMMANDS | GONE_COMMANDS else 1 if "{" in n.attrs else 0
-            elif n.kind == "entity":
-                known = int(html.unescape(text[n.s : n.e]) != text[n.s : n.e])
-            start = text.rfind("\n", 0, n.s) + 1
-            words = inner.split()
-            out.append([
-                _KIND[n.kind], n.depth, np.log1p(n.stop - n.s), (b - a - marks) / max(1, n.stop - n.s), len(n.children), same[n.kind, n.name],
-                len(every), known, float(n.name.isupper() and len(n.name) > 1), n.attrs.count("=") + n.attrs.count("{"), float(n.paired or n.end_tag), _char(text, n.s - 1),
-                _char(text, n.stop), _char(text, a), _char(text, b - 1), float(len(words) != 1), sum(c.isdigit() for c in inner) / max(1, len(inner)), float(not text[start : n.s].strip()),
-                len(n.name), family[_FAMILY.get(n.kind, 1)], len(words), kinds[n.kind], inner.count("{") + inner.count("=") + inner.count("\\") + inner.count("^"), float(len(n.attrs) > 0),
-            ])
-            order.append(n)
-            visit(n.children)
-
-    visit(nodes)
+            ids[id(n)] = id(group)
+            within[id(n)] = mute
+            same[id(group), n.kind, n.name] = same.get((id(group), n.kind, n.name), 0) + 1
+    kind = _signs()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+    blank = np.append((kind & 1).astype(bool), True)
+    starts = ~blank
+    starts[1:] &= blank[:-1]
+    begins, digits, counted = (np.concatenate(([0], x.cumsum())) for x in (starts[:-1], kind & 2 > 0, kind & 4 > 0))
+    for n in every:
+        low = n.name.lower()
+        a, b = n.inner or ((n.e, n.close[0]) if n.close else (n.s + 1, n.e - 1))
+        b = max(a, b)
+        marks = sum(c.stop - c.s for c in n.children)
+        known = 3 if low in GRID_TAGS else 2 if low in _OTHER_BLOCKS else 1 if low in KNOWN_TAGS else 0
+        if n.kind == "tex":
+            known = 2 if low in HEAD_COMMANDS | GONE_COMMANDS else 1 if "{" in n.attrs else 0
+        elif n.kind == "entity":
+            known = int(html.unescape(text[n.s : n.e]) != text[n.s : n.e])
+        line = text.rfind("\n", 0, n.s) + 1
+        words = begins[b] - begins[a] + (a > 0 and a < b and not blank[a] and not blank[a - 1])
+        out.append([
+            _KIND[n.kind], n.depth, min(LONG, np.log1p(n.stop - n.s)), (b - a - marks) / max(1, n.stop - n.s), min(FEW, len(n.children)), min(FEW, same[ids[id(n)], n.kind, n.name]),
+            min(FEW, len(every)), known, float(n.name.isupper() and len(n.name) > 1), n.attrs.count("=") + n.attrs.count("{"), float(n.paired or n.end_tag), _char(text, n.s - 1),
+            _char(text, n.stop), _char(text, a), _char(text, b - 1), float(words != 1), (digits[b] - digits[a]) / max(1, b - a), float(begins[n.s] == begins[line] and (line == n.s or blank[line])),
+            len(n.name), min(FEW, family[_FAMILY.get(n.kind, 1)]), min(WORDY, words), min(FEW, kinds[n.kind]), counted[b] - counted[a], float(len(n.attrs) > 0), float(within[id(n)]),
+        ])
+        order.append(n)
 
 
 def _closed(n: Node) -> bool:
@@ -261,34 +299,24 @@ def _closed(n: Node) -> bool:
 
 
 def decode(nodes: list[Node]) -> None:
-    """Set ``chosen`` to the most likely assignment without contradictions: a dynamic programme from the leaves."""
-
-    def free(group: list[Node]) -> float:
-        return sum(max(on(n), off(n)) for n in group)
-
-    def inside(n: Node) -> float:
-        # Character references and nested code tags still count within <pre> and <code>.
-        if n.kind == "tag":
-            return sum(max(on(c), off(c)) if _soft(c) else silent(c) for c in n.children)
-        return sum(silent(c) for c in n.children)
-
-    def on(n: Node) -> float:
-        return n.odds + (inside(n) if _closed(n) else free(n.children))
-
-    def off(n: Node) -> float:
-        return free(n.children)
+    """Set ``chosen`` to the most likely assignment without contradictions.
 
-    def silent(n: Node) -> float:
-        return sum(silent(c) for c in n.children)
-
-    def pick(group: list[Node], mute: bool, soft: bool = False) -> None:
-        for n in group:
-            allowed = not mute or soft and _soft(n)
-            n.chosen = allowed and on(n) > off(n)
-            closed = n.chosen and _closed(n)
-            pick(n.children, mute or closed, soft or closed and n.kind == "tag")
-
-    pick(nodes, False)
+    A dynamic programme from the leaves: ``best`` is the odds of a node's subtree where nothing
+    forbids its markup, ``soft`` that of its children which still count inside code (character
+    references and nested code tags inside <pre> and <code>). Each node is visited twice.
+    """
+    every = list(walk(nodes))
+    for n in reversed(every):
+        free = sum(c.best for c in n.children)
+        n.soft = sum(c.best for c in n.children if _soft(c)) if n.kind == "tag" else 0.0
+        n.best = max(n.odds + (n.soft if _closed(n) else free), free)
+        n.chosen = n.best > free
+    todo = [(n, False, False) for n in nodes]
+    while todo:
+        n, mute, soft = todo.pop()
+        n.chosen = n.chosen and (not mute or soft and _soft(n))
+        closed = n.chosen and _closed(n)
+        todo += [(c, mute or closed, soft or closed and n.kind == "tag") for c in n.children]
 
 
 def _soft(n: Node) -> bool:
@@ -302,41 +330,58 @@ _HANZI = "测量固定检查外侧内部螺栓压力温度转动之后方可使
 _RU = "проверка нижняя верхняя крышка панель трубка снимается ставится после минут левая".split()
 
 
-def _word(r: random.Random, script: int) -> str:
+def _pick(r: random.Random, some):
+    return some[int(r.random() * len(some))]
+
+
+@lru_cache(3)
+def _vocabulary(script: int) -> list[str]:
+    r = random.Random(SEED + script)
     if script == 0:
-        return "".join(r.choice(_HANZI) for _ in range(r.randint(2, 4)))
+        return ["".join(r.choice(_HANZI) for _ in range(r.randint(2, 4))) for _ in range(800)]
     if script == 1:
-        return r.choice(_RU)
-    w = "".join(r.choice(_SYLLABLES) for _ in range(r.randint(1, 4)))
-    return w.capitalize() if r.random() < 0.2 else w
+        return _RU
+    made = ("".join(r.choice(_SYLLABLES) for _ in range(r.randint(1, 4))) for _ in range(1500))
+    return [w.capitalize() if r.random() < 0.2 else w for w in made]
+
+
+def _word(r: random.Random, script: int) -> str:
+    return _pick(r, _vocabulary(script))
 
 
 def _phrase(r: random.Random, script: int, n: int | None = None) -> str:
-    return ("" if script == 0 else " ").join(_word(r, script) for _ in range(n or r.randint(1, 5)))
+    words = _vocabulary(script)
+    return ("" if script == 0 else " ").join([_pick(r, words) for _ in range(n or r.randint(1, 5))])
 
 
 def _inline(r: random.Random, script: int) -> str:
-    w, n, k = _phrase(r, script, r.randint(1, 2)), r.randint(1, 99), _word(r, 2).lower()
+    w, n, k = _phrase(r, script, r.randint(1, 2) if r.random() < 0.9 else r.randint(3, 40)), r.randint(1, 99), _word(r, 2).lower()
     return r.choice([
         f"**{w}**", f"__{w}__", f"*{w}*", f"***{w}***", f"_{w}_", f"~~{w}~~", f"`{w}`", f"``{k}``", f"[{w}](https://{k}.example/{n})", f"![{w}](img/{k}{n}.png)", f"[[{w}]]", f"[[{k}|{w}]]",
         f"{{{{{k}|{w}}}}}", f"{{{{{k}|p={n}}}}}", f"'''{w}'''", f"''{w}''", f"<b>{w}</b>", f"<i>{w}</i>", f"<em>{w}</em>", f"<strong>{w}</strong>", f'<span style="color:#{n}ab">{w}</span>', f"<font size={n % 7}>{w}</font>",
         f'<a href="https://{k}.example/{n}">{w}</a>', f"<sup>{n}</sup>", f"<sub>{n}</sub>", f"{w}<br>", f"{w}<br/>", f"&lt;em&gt;{w}&lt;/em&gt;", "&nbsp;", "&amp;", f"&#{n + 100};", "&quot;" + w + "&quot;", "&#x2013;", f"<!-- {k} {n} -->",
         f'<ref name="{k}"/>', f"<ref>{w}</ref>", f"\\emph{{{w}}}", f"\\textbf{{{w}}}", f"~\\cite{{{k}{n}}}", f"\\ref{{{k}:{n}}}", f"\\SI{{{n}}}{{\\newton\\metre}}", f"$x = y \\cdot z_{{{n}}}$", f"$\\alpha_{{{n}}} + {n}$", f"$\\frac{{F_{{{n}}}}}{{A}}$", f"${k[0]}_{{max}} = {n} \\times 10^{{{n}}}$", f"\\(\\sqrt{{x^{{2}} + {n}}}\\)", f"$\\Delta {k[0]} \\leq {n}^{{\\circ}}$", f"\\( a = b_{{{n}}} \\)", f"$v^{n % 9}$",
+        f"$\\sum_{{i=1}}^{{{n}}} {k[0]}_{{i}} \\cdot {k[-1]}_{{i}} + \\frac{{{n}}}{{{k[0]}_{{0}}^{{2}}}}$", f"$\\int_{{0}}^{{{n}}} {k[0]}(t)\\,dt = {k[-1]}_{{{n}}} - \\mathrm{{{k}}}_{{max}} \\left( 1 + {n} \\right)$", f"\\( \\sum_{{j}} {k[0]}_{{j}}^{{2}} \\)", "$x_{1}" + f" + {k[0]}_{{{n}}}" * (n % 30) + "$",
         f"<code>{k}</code>", f"<kbd>{k}</kbd>", f"<u>{w}</u>", f"<small>{w}</small>", f"<font size={n % 7}>{w}", f"<i>{w}", f"</span>{w}", f"[^{n % 9}]", f"<https://{k}.example>", f"<del>{w}</del>", f"<I>{w}</I>", f"<B>{w}</B>", f"<SPAN>{w}</SPAN>", f'<P class="{k}">{w}</P>',
     ])
 
 
+def _rich(r: random.Random, script: int, n: int) -> str:
+    """A phrase that may hold signs of its own, as what stands in a block does."""
+    joint = "" if r.random() < (0.7 if script == 0 else 0.15) else " "
+    return joint.join([_phrase(r, script, n), _inline(r, script) + r.choice(["", "", ".", ":", "。"]), *([_phrase(r, script, 1)] if r.random() < 0.5 else [])]) if r.random() < 0.3 else _phrase(r, script, n)
+
+
 def _block(r: random.Random, script: int) -> str:
-    w, n, k = _phrase(r, script), r.randint(1, 99), _word(r, 2).lower()
-    cell = lambda: _phrase(r, script, r.randint(1, 3))
+    w, n, k = _rich(r, script, r.randint(1, 5)), r.randint(1, 99), _word(r, 2).lower()
+    cell = lambda: _rich(r, script, r.randint(1, 3))
     rows = range(r.randint(1, 4))
     return r.choice([
-        f"{'#' * r.randint(1, 6)} {w}", f"{'=' * (e := r.randint(2, 5))} {w} {'=' * e}", f"> {w}", f"```\n{k} = {k}({n}, \"a\")\n{k}[{n}] = *p_{n}\n```", f"```{k}\nif a < {n}: b_{n} = 2\n```", f"$$ M = F \\cdot r_{{{n}}} $$", f"\\[ a = {n} \\]",
-        f"\\section{{{w}}}", f"\\subsection{{{w}}}", f"\\paragraph{{{w}}}", "\\begin{itemize}\n" + "\n".join(f"\\item {cell()}" for _ in rows) + "\n\\end{itemize}", f"\\begin{{equation}}\na_{n} = b\n\\end{{equation}}",
-        "\\begin{tabular}{ll}\n" + "\n".join(f"{cell()} & {n} mm \\\\" for _ in rows) + "\n\\end{tabular}", "| a | b |\n|---|---|\n" + "\n".join(f"| {cell()} | {cell()} |" for _ in rows), "{| class=\"grid\"\n" + "\n".join(f"|-\n| {cell()} || {cell()}" for _ in rows) + "\n|}",
-        "{|\n" + "\n".join(f"|-\n! {cell()}\n| {cell()}" for _ in rows) + "\n|}", f"[[File:{k}{n}.png|thumb|{w}]]", f"<h{r.randint(1, 6)}>{w}</h{r.randint(1, 6)}>", f"<h2>{w}</h2>", "<ul>\n" + "\n".join(f"<li>{cell()}</li>" for _ in rows) + "\n</ul>", "<ol>\n" + "\n".join(f"<li>{cell()}" for _ in rows) + "\n</ol>",
-        f"<p>{w}</p>", f"<div>{w}</div>", f'<div class="{k}"><p>{w}</p></div>', f"<pre><code>{k} = {k}({n}, \"b\")\nx < {n}</code></pre>", "<table><tr><td>" + "</td><td>".join(cell() for _ in rows) + "</td></tr></table>", f"<hr>\n{w}", f"<blockquote>{w}</blockquote>", f"<P>{w}</P>", f"<!--\n{w}\n-->",
-    ])
+        lambda: f"{'#' * r.randint(1, 6)} {w}", lambda: f"{'=' * (e := r.randint(2, 5))} {w} {'=' * e}", lambda: f"> {w}", lambda: f"```\n{k} = {k}({n}, \"a\")\n{k}[{n}] = *p_{n}\n```", lambda: f"```{k}\nif a < {n}: b_{n} = 2\n```", lambda: f"$$ M = F \\cdot r_{{{n}}} $$", lambda: f"\\[ a = {n} \\]", lambda: f"$$ \\sum_{{i=1}}^{{{n}}} {k[0]}_{{i}} {k[-1]}_{{i}} + \\int_{{0}}^{{{n}}} f(t)\\,dt $$", lambda: f"$$\n\\begin{{aligned}}\n{k[0]}_{{{n}}} &= {n} \\\\\n{k[-1]} &= \\frac{{a_{{i}}}}{{b}}\n\\end{{aligned}}\n$$", lambda: f"\\[ \\prod_{{j}} x_{{j}}^{{{n}}} \\]",
+        lambda: f"\\section{{{w}}}", lambda: f"\\subsection{{{w}}}", lambda: f"\\paragraph{{{w}}}", lambda: "\\begin{itemize}\n" + "\n".join(f"\\item {cell()}" for _ in rows) + "\n\\end{itemize}", lambda: f"\\begin{{equation}}\na_{n} = b\n\\end{{equation}}", lambda: f"\\begin{{equation}}\n\\Delta {k[0]} \\leq {n}^{{\\circ}}\n\\end{{equation}}", lambda: f"\\begin{{equation}}\n\\frac{{{k[0]}_{{{n}}}}}{{b}} \\cdot {n}\n\\end{{equation}}",
+        lambda: "\\begin{tabular}{ll}\n" + "\n".join(f"{cell()} & {n} mm \\\\" for _ in rows) + "\n\\end{tabular}", lambda: "| a | b |\n|---|---|\n" + "\n".join(f"| {cell()} | {cell()} |" for _ in rows), lambda: "{| class=\"grid\"\n" + "\n".join(f"|-\n| {cell()} || {cell()}" for _ in rows) + "\n|}",
+        lambda: "{|\n" + "\n".join(f"|-\n! {cell()}\n| {cell()}" for _ in rows) + "\n|}", lambda: f"[[File:{k}{n}.png|thumb|{w}]]", lambda: f"<h{r.randint(1, 6)}>{w}</h{r.randint(1, 6)}>", lambda: f"<h2>{w}</h2>", lambda: "<ul>\n" + "\n".join(f"<li>{cell()}</li>" for _ in rows) + "\n</ul>", lambda: "<ol>\n" + "\n".join(f"<li>{cell()}" for _ in rows) + "\n</ol>",
+        lambda: f"<p>{w}</p>", lambda: f"<div>{w}</div>", lambda: f'<div class="{k}"><p>{w}</p></div>', lambda: f"<pre><code>{k} = {k}({n}, \"b\")\nx < {n}</code></pre>", lambda: "<table><tr><td>" + "</td><td>".join(cell() for _ in rows) + "</td></tr></table>", lambda: f"<hr>\n{w}", lambda: f"<blockquote>{w}</blockquote>", lambda: f"<P>{w}</P>", lambda: f"<!--\n{w}\n-->"])()
 
 
 def _plain(r: random.Random, script: int) -> str:
@@ -345,7 +390,7 @@ def _plain(r: random.Random, script: int) -> str:
     K = r.choice(["OK", "SET", "MENU", "ESC", "ENTER", "F1", "MODE", "Esc", "Enter", "Start", "RES", "Stop", "Power", "PLUS"])
     return r.choice([
         f"<{K}>", f"<{K}>", f"<{K}>{w}<SET>", f"x < {n}", f"x < {n} y > {m}", f"a<b {w} c>d", f"{n} * {m}", f"{n}*{m}*{n}", f"a * b * {w}", f"${n}", f"${n} {w} ${m}", f"${n} {w}, ${m}.", f"{k}_v{n}_{m}.bin", f"{k}_{n}.txt", f"__{k}.py {w}", f"C:\\{k}\\{k}{n}", f"D:\\{k}\\{w}", f"\\\\{k}\\{k}",
-        f"a_{n} + b_{m}", f"k = a_{n} + {m}", f"{n}# {w}", f"#{n}", f"[{n}]", f"[{w}]", f"[{w}] ({n})", f"| {n}", f"{n} | {w}", f"R&D", f"A & B", f"{k} & {w}", f"{w} ~{n} mm", f"~{n}", f"{n}~{m}", f"* {w}", f"- {w}", f"{n}. {w}", f"{{{w}}}", f"{{{n}, {m}}}", f"{w}'s", f"{n}'' {w} {m}''", f"{k}*", f"*) {w}",
+        f"a_{n} + b_{m}", f"{k}_{_word(r, 2).lower()}_{k}", f"{k}_{n}_{k} {w}", f"_{k}", f"{k}_", f"k = a_{n} + {m}", f"{n}# {w}", f"#{n}", f"[{n}]", f"[{w}]", f"[{w}] ({n})", f"| {n}", f"{n} | {w}", f"R&D", f"A & B", f"{k} & {w}", f"{w} ~{n} mm", f"~{n}", f"{n}~{m}", f"* {w}", f"- {w}", f"{n}. {w}", f"{{{w}}}", f"{{{n}, {m}}}", f"{w}'s", f"{n}'' {w} {m}''", f"{k}*", f"*) {w}",
         f"M{n}x{m}*{n}", f"/{k}/{k}_{n}/{m}_x", f"{k}@{k}.example", f"=> {w}", f"{n} = {m}", f"== {n}", f"<- {w} ->", f"<{n}>", f"< {w} >", f"&{k}", f"{k}&{k};", f"^{n}", f"--- {n} ---", f"· {n} ·",
     ])
 
@@ -372,10 +417,10 @@ def sample(texts: int = SAMPLE_TEXTS, seed: int = SEED) -> tuple[np.ndarray, np.
                 parts.append((_phrase(r, script) + ("\n" * r.randint(1, 2) if lone else r.choice([" ", ""])), False))
             parts.append((sign(r, script), sign in (_block, _inline)))
             if r.random() < 0.8:
-                parts.append((("\n" * r.randint(1, 2) if lone else r.choice([" ", "", ", "])) + _phrase(r, script), False))
+                parts.append((("\n" * r.randint(1, 2) if lone else r.choice([" ", "", ", ", ". ", ": ", "。"])) + _phrase(r, script), False))
             rows_of = 0
         else:
-            rows_of = r.randint(1, 5)
+            rows_of = r.randint(1, 5) if r.random() < 0.85 else r.randint(8, 30)  # long texts have many signs
         for _ in range(rows_of):
             if parts:
                 parts.append((r.choice(["\n", "\n\n"]), False))
@@ -392,7 +437,7 @@ def sample(texts: int = SAMPLE_TEXTS, seed: int = SEED) -> tuple[np.ndarray, np.
                 draw = r.random()
                 if draw < rate:
                     parts.append((_inline(r, script), True))
-                    parts.append((joint, False))
+                    parts.append((joint if r.random() < 0.7 else r.choice([",", "。", ".", ":", "、", ")"]) + joint, False))
                 elif draw < rate + decoys:
                     parts.append((_plain(r, script), False))
                     parts.append((joint if r.random() < 0.8 else r.choice([",", "。", "."]) + joint, False))
@@ -437,10 +482,13 @@ def read(texts: list[str | None], trees: Boosted) -> list[list[Node]]:
     return out
 
 
-def _edits(text: str, nodes: list[Node], out: list[tuple[int, int, str]], inside: str = "") -> None:
-    for n in nodes:
+def _edits(text: str, nodes: list[Node], out: list[tuple[int, int, str]]) -> None:
+    """Append what the chosen nodes replace, in any order."""
+    todo = [(n, "") for n in nodes]
+    while todo:
+        n, inside = todo.pop()
         if not n.chosen:
-            _edits(text, n.children, out, inside)
+            todo += [(c, inside) for c in n.children]
             continue
         k, m, low = n.kind, n.m, n.name.lower()
         deeper = True
@@ -462,7 +510,7 @@ def _edits(text: str, nodes: list[Node], out: list[tuple[int, int, str]], inside
             out.append((n.s, n.e, a if not n.end_tag else b))
             if n.close:
                 out.append((n.close[0], n.close[1], b))
-            _edits(text, n.children, out, low if low in CODE_TAGS else inside)
+            todo += [(c, low if low in CODE_TAGS else inside) for c in n.children]
             continue
         if k == "env":
             code, math = n.name in CODE_ENVS, n.name.rstrip("*") in ("equation", "align", "math", "displaymath")
@@ -532,7 +580,7 @@ def _edits(text: str, nodes: list[Node], out: list[tuple[int, int, str]], inside
             keep = args[-1]
             a, b = start + keep.start(1), start + keep.end(1)
             out += [(n.s, a, "\n" + _HEAD if low in HEAD_COMMANDS else ""), (b, n.e, "\n" if low in HEAD_COMMANDS else "")]
-            _edits(text, [c for c in n.children if c.s >= a and c.stop <= b], out, inside)
+            todo += [(c, inside) for c in n.children if c.s >= a and c.stop <= b]
             continue
         elif k == "image":
             out.append((n.s, n.e, m.group("alt")))
@@ -544,7 +592,7 @@ def _edits(text: str, nodes: list[Node], out: list[tuple[int, int, str]], inside
             a, b = n.inner
             at = text.rfind("|", a, b)
             out += [(n.s, at + 1 if at >= 0 else a, ""), (b, n.e, "")]
-            _edits(text, [c for c in n.children if c.s > at], out, inside)
+            todo += [(c, inside) for c in n.children if c.s > at]
             continue
         elif k == "template":
             a, b = n.inner
@@ -554,13 +602,13 @@ def _edits(text: str, nodes: list[Node], out: list[tuple[int, int, str]], inside
                 out.append((n.s, n.e, ""))
                 continue
             out += [(n.s, at + 1, ""), (b, n.e, "")]
-            _edits(text, [c for c in n.children if c.s > at], out, inside)
+            todo += [(c, inside) for c in n.children if c.s > at]
             continue
         elif k == "strong":
             a, b = n.inner
             out += [(n.s, a, ""), (b, n.e, "")]
         if deeper:
-            _edits(text, n.children, out, inside)
+            todo += [(c, inside) for c in n.children]
 
 
 _SPLIT = re.compile(f"({_HEAD}|{_ITEM}|{_CODE}[^{_UNCODE}]*{_UNCODE}?|{_MATH}[^{_UNMATH}]*{_UNMATH}?|{_CELL}|{_ROW}|\n[ \t]*\n|\n)")
@@ -600,6 +648,8 @@ def blocks(marked: str) -> list[dict[str, str]]:
             else:
                 out.append({"kind": kind, "text": t})
                 grow = kind == "text"
+    for b in out:
+        b["text"] = b["text"].translate(_OWN)
     return [b for b in out if b["text"]]
 
 
@@ -615,7 +665,7 @@ def clean(text: str, nodes: list[Node], table: bool = False) -> tuple[str, list[
     out.append(text[at:])
     marked = "".join(out)
     made = blocks(marked)
-    plain = re.sub(f"[{_HEAD}{_CODE}{_UNCODE}{_MATH}{_UNMATH}{_ROW}]", "", marked.replace(_ITEM, "- ").replace(_CELL, "\t"))
+    plain = marked.replace(_ITEM, "- ").replace(_CELL, "\t").translate(_OWN)
     if edits or table:
         plain = re.sub(r"[ \t]+\n", "\n", plain)
         plain = re.sub(r"\n\n+(?=- |\t)", "\n", re.sub(r"\n{3,}", "\n\n", plain)).strip("\n")
@@ -640,7 +690,6 @@ def _clean_all(trees: Boosted, full: bool):
     def run(rows: dict[str, list]) -> dict[str, list]:
         texts = []
         for src, t in zip(rows["src"], rows["text"]):
-            t = _OWN.sub("", t) if t else t
             texts.append(grid(t) if t and src == "content_list" else t)
         read_in = read(texts, trees)
         marked = [any(n.chosen for n in walk(nodes)) for nodes in read_in]
