@@ -54,10 +54,27 @@ def test_repetition_query(spark):
     assert len(shares) == 5 and shares["M-1A@seq_002"] == 0.0
 
 
+def brute_threshold(shares):
+    q = [0.0, *np.quantile(sorted(x for x in shares if x > 0), np.arange(repetition.STEPS + 1) / repetition.STEPS, method="inverted_cdf")]
+    return max((hi - lo, (hi + lo) / 2) for lo, hi in zip(q, q[1:]))[1]
+
+
 def test_thresholds_follow_the_data(spark):
-    shares = spark.createDataFrame([("en", "a", 0.0)] * 300 + [("en", "b", k / 600) for k in range(300)] + [("de", None, 0.1)] * 3, "lang string, source string, share double")
-    got = {(r["lang"], r["source"]): r["threshold"] for r in repetition.thresholds(shares).collect()}
-    assert got["en", "a"] == repetition.FLOOR and got["en", "b"] == repetition.ALWAYS and ("de", None) in got
+    r = random.Random(3)
+    groups = {("en", "a"): (0.05, 0.15, 0.5), ("en", "b"): (0.1, 0.3, 0.8), ("de", "a"): (0.02, 0.06, 0.3)}
+    rows = [(f"{g}{k}", *g, r.uniform(lo, mid) if k % 3 else r.uniform(top, top + 0.1)) for g, (lo, mid, top) in groups.items() for k in range(600)]
+    rows += [(f"z{k}", *g, 0.0) for g in groups for k in range(900)] + [("n1", "de", None, 0.1), ("n2", "de", None, 0.35), ("u", "und", None, 0.9)]
+    shares = spark.createDataFrame(rows, "id string, lang string, source string, share double")
+    got = {(x["lang"], x["source"]): x["threshold"] for x in repetition.thresholds(shares).collect()}
+    for g, (_, mid, top) in groups.items():
+        exact = brute_threshold([x[3] for x in rows if x[1:3] == g])
+        assert mid < exact < top and got[g] == pytest.approx(exact, abs=0.02)
+    assert got["de", None] == pytest.approx(got["de", "a"], abs=0.05) and 0 < got["und", None] < 0.8  # too few of their own
+    found = {x["id"] for x in repetition.unusual(shares).collect()}
+    want = {x[0] for x in rows if x[3] >= got[x[1], x[2]]}
+    assert found == want and len(found) == 602
+    assert repetition.thresholds(shares.where("share = 0")).select("threshold").distinct().first()[0] == repetition.ALWAYS
+    assert repetition.thresholds(shares.limit(0)).count() == 0
 
 
 # 3 splitting
