@@ -103,7 +103,8 @@ def packed(sizes: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     while n:
         blocks = math.ceil(n / block_rows)
         dealt = rest.withColumn("block", F.pmod(F.xxhash64("doc_id", "piece", F.lit(level)), F.lit(blocks)))
-        placed = settle(dealt.groupBy("block").applyInPandas(_pack_block, PLACED))
+        # So many partitions by name: small as the blocks are in bytes, adaptive execution would put them into one task.
+        placed = settle(dealt.repartition(blocks, "block").groupBy("block").applyInPandas(_pack_block, PLACED))
         again = (F.col("gap") > SLACK) & (F.col("size") > 0)
         left = placed.where(again).count() if blocks > 1 else 0
         # Sizes that leave gaps of this kind in large blocks leave them in any block: then all containers stay.
