@@ -11,16 +11,17 @@ range); documents without anchors have none; a null text has no lines, '' has on
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .sequences import forward_fill, forward_fill_all, row_numbers, running_sum
+from .sequences import forward_fill, forward_fill_all, previous, row_numbers, running_sum
 
 ANCHOR = r"<!--\s*pages?\s*(\d+)\s*[-–—]\s*(\d+)\s*-->"
 HEADING = r"^(#{1,6})\s+(.+)$"
 #: Room for the lines of one part of a document in ``place``.
 PART_LINES = 1 << 20
+#: Lines of so many neighbouring parts are one block of operators.sequences; what is handed on is one row a block.
+BLOCK = 1000 * PART_LINES
 
 
 def lines(df: DataFrame, keys: list[str], text: str, part: Column | None = None) -> DataFrame:
@@ -39,7 +40,7 @@ def lines(df: DataFrame, keys: list[str], text: str, part: Column | None = None)
 def page_ranges(rows: DataFrame, keys: list[str], default_first: bool = False) -> DataFrame:
     """The lines with (page_first, page_last) of the last anchor at or before each; ``default_first`` gives the lines before it the first range."""
     here = F.when(F.col("anchor_first").isNotNull(), F.struct("anchor_first", "anchor_last"))
-    out = forward_fill(rows, keys, F.col("place"), here, "__range")
+    out = forward_fill(rows, keys, F.col("place"), here, "__range", BLOCK)
     if default_first:
         first = rows.where(F.col("anchor_first").isNotNull()).groupBy(*keys).agg(F.min_by(F.struct("anchor_first", "anchor_last"), "place").alias("__first"))
         out = out.join(first, keys, "left").withColumn("__range", F.coalesce("__range", "__first", F.struct(F.lit(1).alias("anchor_first"), F.lit(1).alias("anchor_last")))).drop("__first")
@@ -48,7 +49,7 @@ def page_ranges(rows: DataFrame, keys: list[str], default_first: bool = False) -
 
 def blocks(rows: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, block_no, page_first, page_last, lines, text): what stands from each anchor to the next; block 0, before the first, is left out."""
-    n = running_sum(rows, keys, F.col("place"), F.col("anchor_first").isNotNull().cast("int"), "block_no").where(F.col("block_no") > 0)
+    n = running_sum(rows, keys, F.col("place"), F.col("anchor_first").isNotNull().cast("int"), "block_no", BLOCK).where(F.col("block_no") > 0)
     out = n.groupBy(*keys, "block_no").agg(
         F.max("anchor_first").alias("page_first"), F.max("anchor_last").alias("page_last"), F.count("*").alias("lines"), F.array_sort(F.collect_list(F.struct("place", "line"))).alias("x")
     )
@@ -67,7 +68,7 @@ def heading_paths(rows: DataFrame, keys: list[str], levels: int = 4) -> DataFram
     A heading of level l closes those of level l and deeper. For each level the last heading is
     filled forward; it is open if no heading of a lower level came after it.
     """
-    out = forward_fill_all(rows, keys, F.col("place"), {f"__h{k}": F.when(F.col("level") == k, F.struct("place", "title")) for k in range(1, levels + 1)})
+    out = forward_fill_all(rows, keys, F.col("place"), {f"__h{k}": F.when(F.col("level") == k, F.struct("place", "title")) for k in range(1, levels + 1)}, BLOCK)
     parts, after = [], F.lit(-1).cast("long")
     for k in range(1, levels + 1):
         h = F.col(f"__h{k}")
@@ -84,8 +85,8 @@ def sections(rows: DataFrame, keys: list[str]) -> DataFrame:
     """
     point = F.when(F.col("level") == 2, "h2").when(F.col("anchor_first").isNotNull(), "anchor")
     p = rows.withColumn("__point", point)
-    p = running_sum(p, keys, F.col("place"), F.col("__point").isNotNull().cast("int"), "section_no").where(F.col("section_no") > 0)
-    p = forward_fill(p, keys, F.col("place"), F.when(F.col("level") == 2, F.col("title")), "__title")
+    p = running_sum(p, keys, F.col("place"), F.col("__point").isNotNull().cast("int"), "section_no", BLOCK).where(F.col("section_no") > 0)
+    p = forward_fill(p, keys, F.col("place"), F.when(F.col("level") == 2, F.col("title")), "__title", BLOCK)
     out = p.groupBy(*keys, "section_no").agg(
         F.min("place").alias("place"), F.max("__point").alias("kind"), F.min_by("__title", "place").alias("title"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "line"))), lambda s: s["line"]), "\n").alias("text")
     )
@@ -127,7 +128,7 @@ def colon_rows(rows: DataFrame, keys: list[str], skip_numeric: bool = False) ->
 def pipe_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, table_at, row_index, header, cells) of Markdown pipe tables: runs of |-lines whose second line is a separator."""
     r = rows.withColumn("__pipe", F.col("line").rlike(r"^\s*\|.*\|\s*$").cast("int"))
-    r = forward_fill(r, keys, F.col("place"), F.when(F.col("__pipe") == 0, F.col("place")), "__before")
+    r = forward_fill(r, keys, F.col("place"), F.when(F.col("__pipe") == 0, F.col("place")), "__before", BLOCK)
     p = r.where(F.col("__pipe") == 1).withColumn("table_at", F.coalesce(F.col("__before"), F.lit(-1)) + 1)
     inner = F.regexp_replace(F.regexp_replace(T.strip("line"), r"^\|", ""), r"\|$", "")
     p = p.withColumn("cells", F.transform(F.split(inner, r"\|"), T.strip)).withColumn("row", (F.col("place") - F.col("table_at")).cast("int"))
@@ -145,6 +146,5 @@ def numbered(df: DataFrame, keys: list[str], order: Column, prefix: Column, name
 
 
 def previous_line_repeats(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Lines equal to the line before them in their document; windows run within the blocks of a part."""
-    part = F.floor(F.col("place") / PART_LINES)
-    return rows.withColumn("__before", F.lag("line").over(W.partitionBy(*keys, part).orderBy("place"))).where(F.col("line") == F.col("__before")).drop("__before")
+    """Lines equal to the line before them in their document, be it the last one of the part before."""
+    return previous(rows, keys, F.col("place"), F.col("line"), "__before", BLOCK).where(F.col("line") == F.col("__before")).drop("__before")

@@ -6,6 +6,7 @@ nothing; of equal candidates the earliest page is taken.
 
 from __future__ import annotations
 
+import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ from .records import rank_within
 
 #: Entries of a key that one task folds; what a block does to the page that it starts from is handed on as a small map.
 ENTRY_BLOCK = 4096
+#: Pages that one task holds against the titles of their document.
+PAGE_DEAL = 2048
 
 
 def _score(evidence: Column, key: Column, text: Column) -> Column:
@@ -104,10 +107,31 @@ def physical_pages(entries: DataFrame, listed: DataFrame, keys: list[str]) -> Da
 
 
 def title_recall(entries: DataFrame, pages: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, page, found, titles, recall): share of a document's different titles that stand on each page of its printed table."""
+    """(keys, page, found, titles, recall): share of a document's different titles that stand on each page of its printed table.
+
+    An automaton over the titles of a document reads each of its pages once, so no page is held
+    against each title. The pages of a document are dealt over tasks of PAGE_DEAL pages; keys are
+    null for none.
+    """
     t = entries.select(*keys, "title").where("title <> ''").distinct()
-    j = pages.join(t, keys).groupBy(*keys, "page").agg(F.count_if(F.contains("text", F.col("title"))).alias("found"), F.count("*").alias("titles"))
-    return j.withColumn("recall", F.round(F.col("found") / F.col("titles"), 4))
+    deals = pages.groupBy(*keys).agg(F.ceil(F.count("*") / PAGE_DEAL).alias("__deals"))
+    p = pages.select(*keys, "page", F.coalesce("text", F.lit("")).alias("text")).join(deals, keys).withColumn("__deal", F.pmod(F.xxhash64("page"), F.col("__deals"))).drop("__deals")
+    t = t.join(deals, keys).withColumn("__deal", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__deals") - 1))).drop("__deals")
+    types = dict(p.dtypes)
+    head = ", ".join(f"`{k}` {types[k]}" for k in keys)
+
+    def read(rows: pd.DataFrame, titles: pd.DataFrame) -> pd.DataFrame:
+        if titles.empty or rows.empty:
+            return rows.iloc[:0][[*keys, "page"]].assign(found=0, titles=0)
+        words = ahocorasick.Automaton()
+        for k, title in enumerate(titles["title"]):
+            words.add_word(title, k)
+        words.make_automaton()
+        found = [len({k for _, k in words.iter(text)}) for text in rows["text"]]
+        return rows[[*keys, "page"]].assign(found=found, titles=len(titles))
+
+    got = p.groupBy(*keys, "__deal").cogroup(t.groupBy(*keys, "__deal")).applyInPandas(read, f"{head}, page {types['page']}, found long, titles long")
+    return got.withColumn("recall", F.round(F.col("found") / F.col("titles"), 4))
 
 
 def best_pages(scores: DataFrame, keys: list[str], score: str, k: int) -> DataFrame:

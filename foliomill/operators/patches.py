@@ -20,21 +20,26 @@ def apply_fixes(blocks: DataFrame, fixes: DataFrame, keys: list[str]) -> DataFra
 
     fixes are (keys, page, ord, before, after, expected): each goes to the first block whose range
     holds its page; the first occurrence is replaced, and only if the number of occurrences is the
-    expected one where that is given.
+    expected one where that is given. A fix with a true ``allow_empty``, a column that may be
+    missing, may take its text away.
+
+    Blocks meet their fixes by page: the first block of each page is found once, not for each fix.
     """
-    f = fixes.select(*[F.col(k).alias(f"_{k}") for k in keys], "page", F.struct("ord", "before", "after", "expected").alias("fix"))
-    on = F.col("page").between(F.col("page_first"), F.col("page_last"))
+    empty = F.coalesce("allow_empty", F.lit(False)) if "allow_empty" in fixes.columns else F.lit(False)
+    f = fixes.select(*keys, "page", F.struct("ord", "before", "after", "expected", empty.alias("allow_empty")).alias("fix"))
+    ranges = blocks.where(F.col("page_first") <= F.col("page_last")).select(*keys, "block_no", F.explode(F.sequence("page_first", "page_last")).alias("page"))
+    first = ranges.groupBy(*[F.col(k).alias(f"_{k}") for k in keys], F.col("page").alias("_page")).agg(F.min("block_no").alias("block_no"))
+    on = F.col("page") == F.col("_page")
     for k in keys:
         on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    hit = blocks.select(*keys, "block_no", "page_first", "page_last").join(f, on)
-    place = hit.groupBy(*keys, "page", "fix").agg(F.min("block_no").alias("block_no"))
+    place = f.distinct().join(first, on).select(*keys, "fix", "block_no")
     per = place.groupBy(*keys, "block_no").agg(F.array_sort(F.collect_list("fix")).alias("fixes"))
     start = F.struct(F.col("text").alias("text"), F.lit(0).alias("applied"), F.lit(0).alias("refused"))
 
     def step(acc: Column, x: Column) -> Column:
         b, a = F.coalesce(x["before"], F.lit("")), F.coalesce(x["after"], F.lit(""))
         n = _occurrences(acc["text"], b)
-        usable = (b != "") & (a != "") & (b != a)
+        usable = (b != "") & ((a != "") | x["allow_empty"]) & (b != a)
         good = usable & (n > 0) & (x["expected"].isNull() | (x["expected"] == n))
         done = usable & (n == 0) & F.contains(acc["text"], a)
         at = F.position(b, acc["text"])

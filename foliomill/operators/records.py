@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import digest
-from ..runtime import require
+from ..runtime import require, settle
 
 
 def with_identity(df: DataFrame, content: list[str], place: list[str]) -> DataFrame:
@@ -110,32 +110,64 @@ def same_but(df: DataFrame, other: DataFrame, key: str, stable: list[str]) -> Da
 
 def batch_id(df: DataFrame, package: str, key: str, buckets: int = 1 << 16) -> DataFrame:
     """(package, records, batch_id): a digest of all ids of a package, built as digests of sorted buckets, so no list of all ids is held."""
-    b = F.pmod(F.xxhash64(key), F.lit(buckets))
+    b = F.conv(F.substring(F.sha2(F.coalesce(key, F.lit("")), 256), 1, 4), 16, 10).cast("long") % buckets
     part = df.groupBy(package, b.alias("b")).agg(F.count("*").alias("n"), F.sha2(F.array_join(F.array_sort(F.collect_list(key)), ","), 256).alias("h"))
     got = part.groupBy(package).agg(F.sum("n").alias("records"), F.array_sort(F.collect_list(F.struct("b", "h"))).alias("x"))
     return got.select(package, "records", F.sha2(F.concat_ws("|", F.coalesce(F.col(package), F.lit("")), F.array_join(F.transform("x", lambda s: s["h"]), ",")), 256).alias("batch_id"))
 
 
-def cycles(edges: DataFrame) -> DataFrame:
-    """(node): nodes that lie on a cycle of (src, dst), or lead only to and from one, by peeling.
-
-    Nodes without an edge in, or without one out, can't be on a cycle; they are taken away until
-    none is left, however long the chains are: one step for each two edges of the longest. Each
-    step is two semi joins; the lineage is cut at every step.
-    """
-    from ..runtime import settle
-
-    left = settle(edges.select("src", "dst").where(F.col("src").isNotNull() & F.col("dst").isNotNull()).distinct())
+def _peeled(left: DataFrame) -> DataFrame:
+    """Edges of nodes that have an edge in and an edge out, until nothing falls away."""
     n = left.count()
     while n:
         kept = left.join(left.select(F.col("src").alias("dst")).distinct(), "dst", "left_semi")
-        kept = settle(kept.select("src", "dst").join(kept.select(F.col("dst").alias("src")).distinct(), "src", "left_semi").select("src", "dst"))
-        m = kept.count()
-        left = kept
+        left = settle(kept.select("src", "dst").join(kept.select(F.col("dst").alias("src")).distinct(), "src", "left_semi").select("src", "dst"))
+        m = left.count()
         if m == n:
             break
         n = m
-    return left.select(F.col("src").alias("node")).union(left.select("dst")).distinct()
+    return left
+
+
+def _colours(edges: DataFrame) -> DataFrame:
+    """(node, c): the greatest node from which each node can be reached, itself included."""
+    at = settle(edges.select(F.col("src").alias("node")).union(edges.select("dst")).distinct().withColumn("c", F.col("node")))
+    while True:
+        came = edges.join(at, F.col("src") == F.col("node")).groupBy(F.col("dst").alias("d")).agg(F.max("c").alias("best"))
+        new = settle(at.join(came, F.col("node") == F.col("d"), "left").select("node", F.greatest("c", "best").alias("c"), (F.coalesce("best", "c") > F.col("c")).alias("moved")))
+        at = new.select("node", "c")
+        if new.where("moved").isEmpty():
+            return at
+
+
+def cycles(edges: DataFrame) -> DataFrame:
+    """(node): the nodes that lie on a cycle of (src, dst); nodes that only lead to one, from one, or from one to another don't.
+
+    Nodes without an edge in, or without one out, are peeled away. Then each node takes the
+    greatest node that reaches it; the nodes that go back to that one through nodes of the same
+    colour are its strongly connected component, and lie on a cycle if they are several or it
+    points at itself. They are taken out, and what is left is peeled again, until no edge is left.
+    The lineage is cut at every step; rows with nulls are no edges.
+    """
+    left = _peeled(settle(edges.select("src", "dst").where(F.col("src").isNotNull() & F.col("dst").isNotNull()).distinct()))
+    found = left.select(F.col("src").alias("node")).limit(0)
+    while not left.isEmpty():
+        colour = _colours(left)
+        a, b = (colour.select(F.col("node").alias(n), F.col("c").alias(f"c_{n}")) for n in ("src", "dst"))
+        own = settle(left.join(a, "src").join(b, "dst").where(F.col("c_src") == F.col("c_dst")).select("src", "dst"))
+        part = settle(colour.where(F.col("node") == F.col("c")).select("node"))
+        size = part.count()
+        while True:  # back along the edges of one colour
+            more = own.join(part, F.col("dst") == F.col("node"), "left_semi").select(F.col("src").alias("node"))
+            part = settle(part.union(more).distinct())
+            if part.count() == size:
+                break
+            size = part.count()
+        inside = own.join(part, F.col("src") == F.col("node"), "left_semi").join(part, F.col("dst") == F.col("node"), "left_semi")
+        found = found.union(inside.select("src")).union(inside.select("dst"))
+        rest = left.join(part, F.col("src") == F.col("node"), "left_anti").join(part, F.col("dst") == F.col("node"), "left_anti")
+        left = _peeled(settle(rest))
+    return found.distinct()
 
 
 def rank_within(df: DataFrame, keys: list[str], order: list[Column], k: int, name: str = "rank") -> DataFrame:

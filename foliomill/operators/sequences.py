@@ -47,6 +47,16 @@ def forward_fill_all(df: DataFrame, keys: list[str], order: Column, values: dict
     return out.withColumns({n: F.coalesce(f"__l{c}", F.col("__carry")[c]) for n, c in v.items()}).drop("__at", "__block", "__carry", *v.values(), *local)
 
 
+def previous(df: DataFrame, keys: list[str], order: Column, value: Column, name: str, block: int = BLOCK) -> DataFrame:
+    """``name``: the value of the row before each one of a key; null for the first. The order must be unique within a key."""
+    d = _blocked(df, order, block).withColumn("__v", value)
+    last = d.groupBy(*keys, "__block").agg(F.max_by("__v", "__at").alias("__last"))
+    before = F.lag("__last").over(W.partitionBy(*keys).orderBy("__block"))
+    out = _carry_join(d, last.withColumn("__carry", before).select(*keys, "__block", "__carry"), keys)
+    w = W.partitionBy(*keys, "__block").orderBy("__at")
+    return out.withColumn(name, F.when(F.row_number().over(w) == 1, F.col("__carry")).otherwise(F.lag("__v").over(w))).drop("__v", "__at", "__block", "__carry")
+
+
 def _null_safe(keys: list[str]) -> Column:
     on = F.lit(True)
     for k in keys:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import anchors, audit, checks, chunking, cleaning, grids, lookup, pages, patches, records, search, sequences, toc, words
+from ..operators import anchors, audit, checks, chunking, cleaning, grids, identity, lookup, pages, patches, records, search, sequences, toc, words
 from ..runtime import table
 from . import relational, views
 
@@ -344,7 +344,7 @@ def _(s, d):
     return anchors.merge_parts(views.markdown_parts(s, d), ["package_id"], F.col("seq"), "text", volume=256).select("package_id", "volume", "parts", F.sha2("text", 256).alias("digest"))
 
 
-@query("c5_repeated_lines", f"WITH {_MD} SELECT package_id, place, line FROM (SELECT *, lag(line) OVER (PARTITION BY package_id, place // 1048576 ORDER BY place) b FROM l) WHERE b = line")
+@query("c5_repeated_lines", f"WITH {_MD} SELECT package_id, place, line FROM (SELECT *, lag(line) OVER (PARTITION BY package_id ORDER BY place) b FROM l) WHERE b = line")
 def _(s, d):
     return anchors.previous_line_repeats(views.markdown_lines(s, d), ["package_id"]).select("package_id", "place", "line")
 
@@ -379,7 +379,14 @@ def _(s, d):
     return records.conflicts(rows, ["package_id", "key"], "value", "m")
 
 
-@query("g12_pipe_rows")
+@query(
+    "g12_pipe_rows",
+    rf"""WITH {_MD}, q AS (SELECT package_id, place, line, regexp_matches(line, '^\s*\|.*\|\s*$') pipe FROM l),
+t AS (SELECT *, coalesce(last_value(CASE WHEN NOT pipe THEN place END IGNORE NULLS) OVER (PARTITION BY package_id ORDER BY place), -1) + 1 AS table_at FROM q),
+p AS (SELECT package_id, table_at, CAST(place - table_at AS INT) r, list_transform(string_split(regexp_replace(regexp_replace({_STRIP.format('line')}, '^\|', ''), '\|$', ''), '|'), lambda x: {_STRIP.format('x')}) cells FROM t WHERE pipe)
+SELECT b.package_id, b.table_at, b.r - 2 AS row_index, h.cells AS header, b.cells FROM p b JOIN p h ON h.package_id = b.package_id AND h.table_at = b.table_at AND h.r = 0
+JOIN p u ON u.package_id = b.package_id AND u.table_at = b.table_at AND u.r = 1 AND len(list_filter(u.cells, lambda x: NOT regexp_matches(x, '^:?-+:?$'))) = 0 WHERE b.r > 1""",
+)
 def _(s, d):
     """Rows of Markdown pipe tables with their headers."""
     return anchors.pipe_rows(views.markdown_lines(s, d), ["package_id"])
@@ -423,12 +430,19 @@ def _(s, d):
     return got.select("vlm_id", "path")
 
 
-@query("e21_title_evidence")
+_FORM = r"regexp_replace({0}, '[\s\p{{Z}}\x{{85}}]+', '', 'g')"
+_EVIDENCE = (
+    f"{_PAGES}, {_TOC}, j AS (SELECT e.package_id, e.ord, {_FORM.format('e.title')} t, {_FORM.format("coalesce(p.text, '')")} b FROM e LEFT JOIN p ON p.package_id = e.package_id AND p.page = e.page WHERE e.title <> '' AND e.page IS NOT NULL), "
+    "ev AS (SELECT package_id, ord, CASE WHEN contains(b, t) THEN 'found' WHEN len(list_intersect(list_distinct(string_split(t, '')), string_split(b, ''))) / len(list_distinct(string_split(t, ''))) >= 0.5 THEN 'partial' ELSE 'missing' END AS evidence FROM j)"
+)
+
+
+@query("e21_title_evidence", f"WITH {_EVIDENCE} SELECT package_id, ord, evidence FROM ev")
 def _(s, d):
     return toc.title_evidence(views.toc_entries(s, d), views.page_texts(s, d), ["package_id"])
 
 
-@query("h14_evidence_stats")
+@query("h14_evidence_stats", f"WITH {_EVIDENCE} SELECT package_id, count(*) AS total, count(*) FILTER (evidence = 'found') AS found, count(*) FILTER (evidence = 'partial') AS partial, count(*) FILTER (evidence = 'missing') AS missing FROM ev GROUP BY package_id")
 def _(s, d):
     return toc.evidence_stats(toc.title_evidence(views.toc_entries(s, d), views.page_texts(s, d), ["package_id"]), ["package_id"])
 
@@ -457,7 +471,7 @@ def _(s, d):
     return toc.markdown_lines(views.toc_entries(s, d), ["package_id"])
 
 
-@query("f14_f15_dotted_entries")
+@query("f14_f15_dotted_entries", f"WITH {_TOC} SELECT package_id, ord * 2 + ord % 2 AS place, {_STRIP.format('title')} AS title, page FROM e WHERE title <> '' AND page IS NOT NULL")
 def _(s, d):
     """Entries read back from the printed form of the table of contents."""
     e = views.toc_entries(s, d).where("title <> '' AND page IS NOT NULL").withColumn("place", F.col("ord").cast("long") * 2)
@@ -533,12 +547,12 @@ def _(s, d):
     return grids.formatted(_bodies(s, d), "item_id", "table_body")
 
 
-@query("g21_structure_differences", "SELECT 0 AS item_id, 0 AS table_no, 0 AS row_no, 0 AS col_no, '' AS left_text, '' AS right_text, '' AS kind FROM region WHERE false")
+@query("g21_structure_differences")
 def _(s, d):
-    """Formatting changes no structure: the cells before and after it are the same."""
-    before = grids.cells(_bodies(s, d), "item_id", "table_body")
-    after = grids.cells(grids.formatted(_bodies(s, d), "item_id", "table_body"), "item_id", "formatted")
-    return grids.structure_differences(before, after, "item_id")
+    """Each table against itself with a unit written in another way and without its last row."""
+    t = _bodies(s, d)
+    after = t.select("item_id", F.regexp_replace(F.regexp_replace("table_body", r"\brpm\b", "1/min"), r"(?is)<tr\b(?:(?!<tr\b).)*$", "").alias("table_body"))
+    return grids.structure_differences(grids.cells(t, "item_id", "table_body"), grids.cells(after, "item_id", "table_body"), "item_id")
 
 
 # --- H, I, J: records, identities, checks ---
@@ -577,7 +591,7 @@ def _(s, d):
     return records.collisions(table(s, d, "toc_tree"), ["package_id", "ord"], ["title", "target_page"])
 
 
-@query("h6_batch")
+@query("h6_batch", "WITH c AS (SELECT DISTINCT id, package_id FROM chunks), b AS (SELECT package_id, CAST('0x' || substr(sha256(coalesce(id, '')), 1, 4) AS INT) % 65536 b, count(*) n, sha256(string_agg(id, ',' ORDER BY id)) h FROM c GROUP BY ALL) SELECT package_id, sum(n) AS records, sha256(coalesce(package_id, '') || '|' || string_agg(h, ',' ORDER BY b)) AS batch_id FROM b GROUP BY package_id")
 def _(s, d):
     return records.batch_id(table(s, d, "chunks").select("id", "package_id").distinct(), "package_id", "id")
 
@@ -633,11 +647,15 @@ def _(s, d):
     return checks.tree_difference(a, b, "id", "h")
 
 
-@query("k5_cycles")
+_TRADE = "t AS (SELECT c_nationkey AS src, s_nationkey AS dst, count(*) n FROM customer JOIN orders ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey JOIN supplier ON s_suppkey = l_suppkey WHERE c_nationkey <> s_nationkey GROUP BY ALL), e AS (SELECT src, max({'n': n, 'd': dst}).d AS dst FROM t GROUP BY src)"
+
+
+@query("k5_cycles", f"WITH RECURSIVE {_TRADE}, r AS (SELECT src, dst FROM e UNION SELECT r.src, e.dst FROM r JOIN e ON r.dst = e.src) SELECT DISTINCT src AS node FROM r WHERE src = dst")
 def _(s, d):
-    """Packages whose bulletins point at each other in a circle, by the package that each document names next."""
-    e = table(s, d, "documents").where("package_id IS NOT NULL").select(F.col("package_id").alias("src"), F.concat(F.lit("pk"), F.lpad(F.pmod(F.xxhash64("package_id"), F.lit(40)).cast("string"), 7, "0")).alias("dst"))
-    return records.cycles(e)
+    """Nations that lie on a circle of main suppliers: each nation points at the other nation from which most of its lines come."""
+    li = table(s, d, "lineitem").join(table(s, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(table(s, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(table(s, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    t = li.where("c_nationkey <> s_nationkey").groupBy("c_nationkey", "s_nationkey").agg(F.count("*").alias("n"))
+    return records.cycles(t.groupBy(F.col("c_nationkey").alias("src")).agg(F.max(F.struct("n", F.col("s_nationkey").alias("d")))["d"].alias("dst")))
 
 
 # --- cleaning, links, patches, words ---
@@ -682,7 +700,16 @@ def _(s, d):
     return patches.apply_fixes(b, f, ["package_id"]).select("package_id", "block_no", "applied", "refused", F.sha2("text", 256).alias("digest"))
 
 
-@query("d16_d17_candidates")
+_SIGNS = r"[CASE WHEN len(regexp_extract_all(table_body, '(?i)<td>\s*</td>')) > 2 THEN 'excessive_empty_td' END, CASE WHEN coalesce(list_max(list_transform(regexp_extract_all(table_body, '(?is)<tr[^>]*>(.*?)</tr>', 1), lambda r: len(regexp_extract_all(r, '(?i)<td[^>]*>')))), 0) > 4 THEN 'excessive_columns' END, CASE WHEN strlen(table_body) > 800 THEN 'volume_inflation' END]"
+
+
+@query(
+    "d16_d17_candidates",
+    f"""WITH q AS (SELECT package_id, page_idx + 1 AS page, table_body, list_filter({_SIGNS}, lambda x: x IS NOT NULL) s FROM content_list WHERE table_body IS NOT NULL AND page_idx IS NOT NULL),
+k AS (SELECT *, list_has_any(s, ['excessive_empty_td', 'excessive_columns']) shape, list_contains(s, 'volume_inflation') inflated FROM q WHERE len(s) > 0)
+SELECT package_id, page, package_id || '_p' || lpad(CAST(page AS VARCHAR), CAST(greatest(4, len(CAST(page AS VARCHAR))) AS INT), '0') AS candidate_id, CASE WHEN shape AND inflated THEN 'mixed' WHEN shape THEN 'structural' WHEN inflated THEN 'text_omission' ELSE 'unknown' END AS type, array_to_string(s, ',') AS signals
+FROM k WHERE shape OR regexp_matches(table_body, '(?i)<table')""",
+)
 def _(s, d):
     """Table pages with signals: every table with its page, its signals and its type."""
     t = table(s, d, "content_list").where("table_body IS NOT NULL AND page_idx IS NOT NULL")
@@ -690,10 +717,11 @@ def _(s, d):
     return patches.candidates(p, "package_id", "page", "signals", "table_body")
 
 
-@query("d21_parents", rf"SELECT id, p[-1] AS parent FROM (SELECT DISTINCT id, page, list_filter(list_transform(regexp_split_to_array(section, '[/>→]'), lambda x: {_STRIP.format('x')}), lambda x: x <> '') p FROM chunks WHERE section IS NOT NULL) WHERE len(p) >= 2 AND trim(coalesce(page, '')) <> '' AND NOT list_contains(p, trim(coalesce(page, ''), ' '))")
+@query("d21_parents", rf"WITH {_PATH}, q AS (SELECT package_id, ord, regexp_extract(title, '([A-Z]\d+[A-Z])', 1) k, list_filter(list_transform(regexp_split_to_array(path, '[/>→]'), lambda x: {_STRIP.format('x')}), lambda x: x <> '') p FROM pa) SELECT package_id, ord, k AS key, p[-1] AS parent FROM q WHERE len(p) >= 2 AND k <> '' AND NOT list_contains(p, k)")
 def _(s, d):
-    c = table(s, d, "chunks").where("section IS NOT NULL").select("id", "page", "section").distinct()
-    return c.select("id", patches.parent_suggestion(T.path_parts("section"), F.col("page"), F.lit("")).alias("parent")).where("parent IS NOT NULL")
+    """The section above each part number in a title of the second level or deeper."""
+    e = toc.paths(views.toc_entries(s, d), ["package_id"]).withColumn("key", F.regexp_extract("title", r"([A-Z]\d+[A-Z])", 1))
+    return e.select("package_id", "ord", "key", patches.parent_suggestion(T.path_parts("path"), F.col("key"), F.lit("")).alias("parent")).where("parent IS NOT NULL")
 
 
 @query("f13_visual_lines", "SELECT vlm_id, len(k) AS lines, len(k) AS words FROM (SELECT vlm_id, list_filter(coalesce(key_text, []), lambda t: coalesce(trim(t, ' '), '') <> '' AND NOT regexp_matches(trim(t, ' '), '^\\d+$')) k FROM vlm_eval)")
@@ -790,3 +818,74 @@ def _(s, d):
     """Segments that are named but have no table."""
     c = table(s, d, "content_list")
     return audit.unresolved_references(c.select(F.col("segment").alias("ref")), c.where("type = 'table'"), "segment", "ref").select(F.col("ref").alias("segment")).distinct()
+
+
+# --- identity by source position ---
+
+_POSITION = """x AS (SELECT item_id, sha256(package_id) h, CASE type WHEN 'table' THEN 'html_table' WHEN 'text' THEN 'paragraph' ELSE type END || ':' || item_id b, coalesce(CAST(page_idx AS VARCHAR), '') r FROM content_list),
+y AS (SELECT *, regexp_extract(b, '^(html_table|md_table|paragraph):(\\d+)$', 1) kind, regexp_extract(b, '^(html_table|md_table|paragraph):(\\d+)$', 2) n FROM x),
+z AS (SELECT *, CASE WHEN coalesce(h, '') = '' THEN 'source_hash' WHEN kind = '' THEN 'source_position' WHEN kind = 'paragraph' AND r NOT IN ('', '0') THEN 'paragraph_row' WHEN kind <> 'paragraph' AND (r = '' OR TRY_CAST(r AS INT) < 1) THEN 'table_row' END AS error FROM y)""".replace("\\\\", "\\")
+
+
+@query("i4_source_anchors", f"WITH {_POSITION} SELECT item_id, error, CASE WHEN error IS NULL THEN sha256('candidate-v2|' || h || '|' || kind || '|' || n || '|' || CASE WHEN kind = 'paragraph' THEN '0' ELSE r END || '|0') END AS candidate_id FROM z")
+def _(s, d):
+    """Ids of items by where they stand; items whose position says too little keep the rule they break."""
+    kind = F.when(F.col("type") == "table", "html_table").when(F.col("type") == "text", "paragraph").otherwise(F.col("type"))
+    a = identity.source_anchor(F.sha2("package_id", 256), F.concat(kind, F.lit(":"), F.col("item_id").cast("string")), F.lit(""), F.col("page_idx").cast("string"))
+    return table(s, d, "content_list").select("item_id", a.alias("a")).select("item_id", F.col("a.error").alias("error"), identity.anchored_id(F.col("a.anchor")).alias("candidate_id"))
+
+
+@query("i5_content_hash", "SELECT item_id, sha256('candidate-content-v1|' || coalesce(package_id, '') || '|' || coalesce(segment, '') || '|' || coalesce(type, '') || '|' || coalesce(text, '') || '|' || coalesce(table_body, '') || '|' || coalesce(img_path, '') || '||' || sha256(coalesce(text, ''))) AS v1, sha256('candidate-review-v2|' || item_id || '|' || coalesce(text, '') || '|' || coalesce(table_body, '') || '|' || coalesce(img_path, '') || '|') AS v2 FROM content_list")
+def _(s, d):
+    """Digests of the content of items, of both versions."""
+    none = F.lit(None).cast("string")
+    c = {"source_pdf": F.col("package_id"), "model": F.col("segment"), "section_path": F.col("type"), "key": F.col("text"), "value": F.col("table_body"), "unit": F.col("img_path"), "evidence_text": none, "row_hash": T.digest("text"), "candidate_id": F.col("item_id")}
+    return table(s, d, "content_list").select("item_id", identity.content_hash(1, c).alias("v1"), identity.content_hash(2, c).alias("v2"))
+
+
+@query("d24_numbering_safety", "SELECT package_id, coalesce(numbering_status = 'verified', false) AS safe, CASE WHEN numbering_status IS NULL AND numbering_mapping IS NULL THEN 'missing' ELSE coalesce(numbering_status, 'needs_review') END AS status, CASE WHEN numbering_status IS NULL AND numbering_mapping IS NULL THEN 'numbering_missing' WHEN numbering_status = 'verified' THEN NULL WHEN coalesce(numbering_mapping, 'unknown') = 'unknown' THEN 'mapping_unknown' ELSE 'offset_unverified' END AS warning FROM packages")
+def _(s, d):
+    return table(s, d, "packages").select("package_id", identity.numbering_safety("numbering_status", "numbering_mapping").alias("x")).select("package_id", "x.safe", "x.status", "x.warning")
+
+
+@query(
+    "e8_one_section",
+    f"""WITH {_CHUNKS}, {_PATH}, g AS (SELECT package_id, page, count(*) n, max_by(path, ord) path FROM pa WHERE page IS NOT NULL GROUP BY ALL),
+x AS (SELECT * FROM (SELECT *, lead(page) OVER (PARTITION BY package_id ORDER BY page) - 1 AS last FROM g) WHERE n = 1),
+k AS (SELECT DISTINCT id, package_id, page_first f, page_last l FROM c),
+j AS (SELECT k.id, k.f, k.l, any_value(x.path) FILTER (k.f BETWEEN x.page AND coalesce(x.last, k.f)) a, any_value(x.path) FILTER (k.l BETWEEN x.page AND coalesce(x.last, k.l)) z FROM k LEFT JOIN x ON x.package_id = k.package_id AND (k.f BETWEEN x.page AND coalesce(x.last, k.f) OR k.l BETWEEN x.page AND coalesce(x.last, k.l)) GROUP BY ALL)
+SELECT id, CASE WHEN f >= 1 AND coalesce(a, '') <> '' AND a = z THEN a END AS path, CASE WHEN f IS NULL THEN 'missing_page_range' WHEN f < 1 THEN 'invalid_page_range' WHEN coalesce(a, '') <> '' AND a = z THEN NULL ELSE 'section_not_unique' END AS error FROM j""",
+)
+def _(s, d):
+    """The one section that holds the pages of a chunk, or why there is none."""
+    r = toc.exclusive_ranges(toc.paths(views.toc_entries(s, d), ["package_id"]), ["package_id"])
+    return identity.one_section(views.chunk_rows(s, d), r, ["package_id"], "id")
+
+
+@query("e26_conflicts_by_member", f"WITH {_COLON_ROWS}, g AS (SELECT package_id, key, value, min(CAST(place AS VARCHAR)) f FROM k GROUP BY ALL), h AS (SELECT sha256(package_id || '|' || key || '|' || array_to_string(list_sort(list(value)), '|')) AS i, unnest(list(package_id || ':' || f)) AS member FROM g GROUP BY package_id, key HAVING count(*) > 1) SELECT member, string_agg(DISTINCT i, ';' ORDER BY i) AS conflict_ids FROM h GROUP BY member")
+def _(s, d):
+    """Conflicting lines with the conflicts that they stand in."""
+    rows = anchors.colon_rows(views.markdown_lines(s, d), ["package_id"]).withColumn("m", F.concat("package_id", F.lit(":"), F.col("place").cast("string")))
+    return identity.conflicts_by_member(records.conflicts(rows, ["package_id", "key"], "value", "m"))
+
+
+@query("c18_cell_forms", r"SELECT item_id, trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g'), ' ') AS form, regexp_replace(coalesce(text, ''), '\s+', '', 'g') = regexp_replace(coalesce(img_path, ''), '\s+', '', 'g') AS same FROM content_list")
+def _(s, d):
+    return table(s, d, "content_list").select("item_id", identity.cell_form("text").alias("form"), identity.cells_equal("text", "img_path").alias("same"))
+
+
+@query("g11_pair_groups")
+def _(s, d):
+    """Two key/value candidates from each row of at least four cells."""
+    r = grids.cells(_bodies(s, d), "item_id", "table_body", fill=True).groupBy("item_id", "table_no", "row_no").agg(F.array_sort(F.collect_list(F.struct("col_no", "text"))).alias("x"))
+    group = lambda k, v: F.struct(F.lit(k).alias("key_column"), F.array(F.struct(F.lit("value").alias("label"), F.lit(v).alias("column"))).alias("value_columns"), F.lit(None).cast("int").alias("marker_column"))
+    got = r.select("item_id", "table_no", "row_no", F.explode(identity.pair_groups(F.transform("x", lambda c: c["text"]), F.array(group(0, 1), group(2, 3)))).alias("g"))
+    return got.select("item_id", "table_no", F.concat_ws(".", "row_no", "g.slot").alias("row_index"), "g.key", "g.marker", "g.value")
+
+
+@query("f9_first_column_parents")
+def _(s, d):
+    """Rows with their second cell as key, and as parent the first one where the first column repeats."""
+    c = grids.cells(_bodies(s, d), "item_id", "table_body", fill=True)
+    r = c.groupBy("item_id", "table_no", "row_no").agg(F.max(F.when(F.col("col_no") == 0, F.col("text"))).alias("first"), F.max(F.when(F.col("col_no") == 1, F.col("text"))).alias("key")).withColumn("key_column", F.lit(1)).withColumn("parent", F.lit(""))
+    return identity.first_column_parents(r, ["item_id", "table_no"], "first", "key", "key_column", "parent").select("item_id", "table_no", "row_no", "key", "parent")
