@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .sequences import forward_fill, forward_fill_all, previous, row_numbers, running_sum
+from .sequences import forward_fill, forward_fill_all, previous, row_numbers, running_min, running_sum
 
 ANCHOR = r"<!--\s*pages?\s*(\d+)\s*[-–—]\s*(\d+)\s*-->"
 HEADING = r"^(#{1,6})\s+(.+)$"
@@ -77,9 +77,22 @@ def heading_paths(rows: DataFrame, keys: list[str], levels: int = 4) -> DataFram
     return out.withColumn("path", F.array_join(F.array_compact(F.array(*parts)), " / ")).drop(*[f"__h{k}" for k in range(1, levels + 1)])
 
 
+def truncated_paths(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The headings with ``path`` by position: a heading of level l follows at most l - 1 of the open ones, also where levels are skipped.
+
+    After the n-th heading as many are open as the least of n and, over all headings t up to it,
+    level(t) + n - t; so the depth comes from a running minimum and the path from the stack by depth.
+    """
+    h = row_numbers(rows.where(F.col("level").isNotNull()), keys, F.col("place"), "__n", BLOCK)
+    h = running_min(h, keys, F.col("place"), F.col("level") - F.col("__n"), "__m", BLOCK)
+    deep = h.withColumn("__level", F.col("level")).withColumn("level", (F.col("__n") + F.least(F.lit(0), F.col("__m"))).cast("int"))
+    return heading_paths(deep, keys, 6).withColumn("level", F.col("__level")).drop("__n", "__m", "__level")
+
+
 def sections(rows: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, section_no, at, kind, title, text): the text split at '## ' headings and at anchors.
 
+    A split point is a line, so an anchor in the line of a heading makes none of its own.
     A section that begins at an anchor has the title of the last heading before it; a heading
     right after an anchor takes its place; text before the first split point is left out.
     """

@@ -81,3 +81,17 @@ def chunks(df: DataFrame, keys: list[str], text: str, limit: int = LIMIT) -> Dat
         return pa.array(made, arrow.field("n").type)
 
     return df.select(*keys, F.explode(pack(F.col(text))).alias("c")).select(*keys, "c.chunk_no", "c.content", "c.token_count")
+
+
+def export(made: DataFrame, path: str, keys: list[str], limit: int = LIMIT) -> int:
+    """Write chunks as JSON lines and return how many; a chunk above the limit, a blank one or a repeated key is an error, and nothing is written."""
+    from ..runtime import require, settle
+    from ..sources.files import write_jsonl
+
+    kept = settle(made)
+    bad = kept.where((F.col("token_count") > limit) | (F.trim(F.coalesce("content", F.lit(""))) == "")).select(*keys).limit(3).collect()
+    require(not bad, f"chunks out of bounds: {[tuple(r) for r in bad]}")
+    twice = kept.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").limit(3).collect()
+    require(not twice, f"chunks repeated: {[tuple(r) for r in twice]}")
+    write_jsonl(kept, path)
+    return kept.count()

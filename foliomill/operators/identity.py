@@ -132,3 +132,60 @@ def first_column_parents(rows: DataFrame, table: list[str], first: str, key: str
         on = on & F.col(c).eqNullSafe(F.col(f"__{c}"))
     use = (F.coalesce(F.col(parent), F.lit("")) == "") & (F.col("__rows") > 2) & (F.col("__values") < F.col("__rows")) & (F.col(key_column) > 0) & (f != "") & (f != F.trim(F.coalesce(F.col(key), F.lit(""))))
     return rows.join(per, on).withColumn(parent, F.when(use, f).otherwise(F.coalesce(F.col(parent), F.lit("")))).drop("__rows", "__values", *[f"__{c}" for c in table])
+
+
+def distinguished(df: DataFrame, key: str, row_index: str, content: list[str]) -> DataFrame:
+    """The rows with ids that several rows share told apart by 16 digits of their content's digest.
+
+    Only where all rows of the id have a row index and all their contents differ; other shared
+    ids stay as they are, for review. Ids are counted by content first, so a hot id is a few rows.
+    """
+    from ..functions.text import digest
+
+    d = df.withColumn("__h", digest(*content)).withColumn("__i", F.trim(F.coalesce(F.col(row_index).cast("string"), F.lit(""))) != "")
+    per = d.groupBy(F.col(key).alias("__k"), "__h").agg(F.count("*").alias("n"), F.bool_and("__i").alias("i"))
+    per = per.groupBy("__k").agg(F.sum("n").alias("__rows"), F.count("*").alias("__contents"), F.bool_and("i").alias("__all"))
+    apart = (F.col("__rows") > 1) & (F.col("__contents") == F.col("__rows")) & F.col("__all")
+    j = d.join(per, F.col(key).eqNullSafe(F.col("__k")))
+    return j.withColumn(key, F.when(apart, F.concat(F.col(key), F.lit("-"), F.left("__h", F.lit(16)))).otherwise(F.col(key))).select(*df.columns)
+
+
+def flagged_collisions(df: DataFrame, key: str, notes: str, marker: str = "source_anchor_collision") -> DataFrame:
+    """The rows whose id others share, with the marker among their notes, once; for ids of which a position must have one."""
+    shared = df.groupBy(F.col(key).alias("__k")).agg(F.count("*").alias("n")).where("n > 1").select("__k")
+    old = F.coalesce(F.col(notes), F.lit(""))
+    new = F.when(F.array_contains(F.split(old, ";"), marker), old).otherwise(F.concat_ws(";", F.nullif(old, F.lit("")), F.lit(marker)))
+    return df.join(shared, F.col(key).eqNullSafe(F.col("__k")), "left_semi").withColumn(notes, new)
+
+
+def data_fixes(fixes: DataFrame) -> DataFrame:
+    """(key, ord, field, action, value, fix_id) of the applied corrections of data among (ord, review_action, status, target_record_id, target_field, field_action, new_value, fix_id); incomplete ones are left out, a missing action is 'amend'."""
+    t = lambda c: F.trim(F.coalesce(F.col(c), F.lit("")))
+    kept = fixes.where((F.col("review_action") == "fix_data") & (F.col("status") == "applied") & (t("target_record_id") != "") & (t("target_field") != "") & (t("fix_id") != ""))
+    return kept.select(t("target_record_id").alias("key"), "ord", t("target_field").alias("field"), F.coalesce(F.trim("field_action"), F.lit("amend")).alias("action"), F.coalesce("new_value", F.lit("")).alias("value"), t("fix_id").alias("fix_id"))
+
+
+def _page(p: Column) -> Column:
+    return F.lpad(p.cast("string"), F.greatest(F.lit(4), F.length(p.cast("string"))), F.lit("0"))
+
+
+def page_anchor(page: Column | str) -> Column:
+    """The anchor of one page in Markdown."""
+    p = (F.col(page) if isinstance(page, str) else page).cast("string")
+    return F.concat(F.lit("<!-- pages "), p, F.lit("-"), p, F.lit(" -->"))
+
+
+def table_id(package: Column | str, pages: Column | str) -> Column:
+    """The id of a table by its pages: none, one, or the first and the last of several."""
+    p, n = (F.col(c) if isinstance(c, str) else c for c in (package, pages))
+    of = lambda i: F.concat(F.lit("p"), _page(F.element_at(n, i)))
+    size = F.size(F.coalesce(n, F.array().cast("array<int>")))
+    return F.concat(p, F.lit("_table_"), F.when(size == 0, "unknown").when(size == 1, of(1)).otherwise(F.concat(of(1), F.lit("-"), of(-1))))
+
+
+def page_list(c: Column | str) -> Column:
+    """The different pages of '13,31' in order; null for a blank list, and an error for anything but positive numbers."""
+    s = F.col(c) if isinstance(c, str) else c
+    parts = F.transform(F.split(s, ",", -1), lambda x: F.trim(x))
+    good = F.forall(parts, lambda x: x.rlike(r"^\d{1,9}$") & (x.try_cast("int") >= 1))
+    return F.when(F.trim(F.coalesce(s, F.lit(""))) != "", F.when(good, F.array_sort(F.array_distinct(F.transform(parts, lambda x: x.try_cast("int"))))).otherwise(F.raise_error(F.concat(F.lit("pages: "), s)).cast("array<int>")))

@@ -74,6 +74,16 @@ def running_sum(df: DataFrame, keys: list[str], order: Column, value: Column, na
     return _carry_join(d.withColumn("__local", local), carry, keys).withColumn(name, F.col("__local") + F.coalesce("__carry", F.lit(0))).drop("__v", "__at", "__block", "__local", "__carry")
 
 
+def running_min(df: DataFrame, keys: list[str], order: Column, value: Column, name: str, block: int = BLOCK) -> DataFrame:
+    """``name``: the least value of a key up to each row, nulls left out; the order must be unique within a key."""
+    d = _blocked(df, order, block).withColumn("__v", value)
+    local = F.min("__v").over(W.partitionBy(*keys, "__block").orderBy("__at").rowsBetween(W.unboundedPreceding, 0))
+    least = d.groupBy(*keys, "__block").agg(F.min("__v").alias("__s"))
+    before = F.min("__s").over(W.partitionBy(*keys).orderBy("__block").rowsBetween(W.unboundedPreceding, -1))
+    carry = least.withColumn("__carry", before).select(*keys, "__block", "__carry")
+    return _carry_join(d.withColumn("__local", local), carry, keys).withColumn(name, F.least("__local", "__carry")).drop("__v", "__at", "__block", "__local", "__carry")
+
+
 def row_numbers(df: DataFrame, keys: list[str], order: Column, name: str, block: int = BLOCK) -> DataFrame:
     """``name``: 1, 2, ... within a key; the order must be unique within a key."""
     return running_sum(df, keys, order, F.lit(1), name, block)

@@ -319,6 +319,21 @@ def _(s, d):
     return anchors.heading_paths(views.markdown_lines(s, d), ["package_id"]).groupBy("package_id", "path").agg(F.count("*").alias("lines"))
 
 
+_DEEP = ", ".join(f"max(CASE WHEN dep = {k} THEN place END) OVER w a{k}, last_value(CASE WHEN dep = {k} THEN title END IGNORE NULLS) OVER w t{k}" for k in range(1, 7))
+_OPEN = ", ".join(f"CASE WHEN a{k} > greatest(-1, {', '.join(f'coalesce(a{j}, -1)' for j in range(1, k)) or '-1'}) THEN t{k} END" for k in range(1, 7))
+
+
+@query(
+    "f4_truncated_paths",
+    f"""WITH {_MD}, n AS (SELECT package_id, place, lev, title, row_number() OVER (PARTITION BY package_id ORDER BY place) n FROM l WHERE lev IS NOT NULL),
+m AS (SELECT *, n + least(0, min(lev - n) OVER (PARTITION BY package_id ORDER BY place)) dep FROM n), h AS (SELECT package_id, place, {_DEEP} FROM m WINDOW w AS (PARTITION BY package_id ORDER BY place ROWS UNBOUNDED PRECEDING))
+SELECT package_id, place, array_to_string(list_filter([{_OPEN}], lambda x: x IS NOT NULL), ' / ') AS path FROM h""",
+)
+def _(s, d):
+    """The path of each heading where skipped levels keep their position."""
+    return anchors.truncated_paths(views.markdown_lines(s, d), ["package_id"]).select("package_id", "place", "path")
+
+
 @query(
     "f6_sections",
     f"""WITH {_MD}, p1 AS (SELECT *, lev IS NOT DISTINCT FROM 2 OR a IS NOT NULL pt FROM l), p2 AS (SELECT *, sum(CAST(pt AS INT)) OVER w n, last_value(CASE WHEN lev = 2 THEN title END IGNORE NULLS) OVER w tt FROM p1 WINDOW w AS (PARTITION BY package_id ORDER BY place ROWS UNBOUNDED PRECEDING))
@@ -889,3 +904,22 @@ def _(s, d):
     c = grids.cells(_bodies(s, d), "item_id", "table_body", fill=True)
     r = c.groupBy("item_id", "table_no", "row_no").agg(F.max(F.when(F.col("col_no") == 0, F.col("text"))).alias("first"), F.max(F.when(F.col("col_no") == 1, F.col("text"))).alias("key")).withColumn("key_column", F.lit(1)).withColumn("parent", F.lit(""))
     return identity.first_column_parents(r, ["item_id", "table_no"], "first", "key", "key_column", "parent").select("item_id", "table_no", "row_no", "key", "parent")
+
+
+@query("i7_distinguished", "WITH q AS (SELECT toc_id, package_id || '@' || ord k, toc_page, sha256(coalesce(title, '') || '|' || coalesce(CAST(target_page AS VARCHAR), '')) h FROM toc_tree), g AS (SELECT k, count(*) n, count(DISTINCT h) c, bool_and(toc_page IS NOT NULL) a FROM q GROUP BY k) SELECT toc_id, CASE WHEN n > 1 AND c = n AND a THEN k || '-' || substr(h, 1, 16) ELSE k END AS entry FROM q JOIN g USING (k)")
+def _(s, d):
+    """Entries of one place in the table of contents told apart where they differ."""
+    t = table(s, d, "toc_tree").withColumn("entry", F.concat("package_id", F.lit("@"), F.col("ord").cast("string")))
+    return identity.distinguished(t, "entry", "toc_page", ["title", "target_page"]).select("toc_id", "entry")
+
+
+@query("c22_builders", "SELECT item_id, '<!-- pages ' || (page_idx + 1) || '-' || (page_idx + 1) || ' -->' AS anchor, package_id || '_table_' || CASE WHEN page_idx IS NULL THEN 'unknown' ELSE 'p' || lpad(CAST(page_idx + 1 AS VARCHAR), CAST(greatest(4, len(CAST(page_idx + 1 AS VARCHAR))) AS INT), '0') END AS table_id FROM content_list")
+def _(s, d):
+    p = F.col("page_idx") + 1
+    return table(s, d, "content_list").select("item_id", identity.page_anchor(p).alias("anchor"), identity.table_id("package_id", F.when(p.isNotNull(), F.array(p))).alias("table_id"))
+
+
+@query("c23_page_lists", "SELECT id, list_sort(list_distinct(list_transform(string_split(p, ','), lambda x: CAST(trim(x) AS INT)))) AS pages FROM (SELECT DISTINCT id, replace(page, '-', ' , ') p FROM chunks WHERE regexp_matches(page, '^[1-9][0-9]{0,8}(-[1-9][0-9]{0,8})?$'))")
+def _(s, d):
+    c = table(s, d, "chunks").where(F.col("page").rlike(r"^[1-9][0-9]{0,8}(-[1-9][0-9]{0,8})?$")).select("id", F.replace("page", F.lit("-"), F.lit(" , ")).alias("p")).distinct()
+    return c.select("id", identity.page_list("p").alias("pages"))

@@ -5,7 +5,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from foliomill.operators import identity, lookup, patches, records, sequences
+from foliomill.operators import anchors, chunking, identity, lookup, patches, records, sequences
 
 HASH = "AB" * 32
 
@@ -111,3 +111,52 @@ def test_title_recall(spark):
     e = spark.createDataFrame([("p", t) for t in ("Oil", "Oil pump", "Filter", "", None, "Oil")] + [("q", "x")], "k string, title string")
     p = spark.createDataFrame([("p", 1, "Oil pumps"), ("p", 2, None), ("p", 3, "Filters, Oil"), ("r", 1, "x")], "k string, page int, text string")
     assert sorted((r.k, r.page, r.found, r.titles, r.recall) for r in lookup.title_recall(e, p, ["k"]).collect()) == [("p", 1, 2, 3, 0.6667), ("p", 2, 0, 3, 0.0), ("p", 3, 2, 3, 0.6667)]
+
+
+def test_truncated_paths(spark):
+    import random
+
+    r = random.Random(2)
+    rows, want = [], {}
+    for doc in range(6):
+        path = []
+        for n in range(40):
+            level = r.choice([1, 1, 2, 3, 3, 4, 6]) if r.random() < 0.7 else None
+            rows.append((doc, n * 3, level, f"t{n}" if level else None))
+            if level:
+                path = [*(path[: level - 1] if len(path) >= level else path), f"t{n}"]
+                want[doc, n * 3] = " / ".join(path)
+    df = spark.createDataFrame(rows, "d int, place long, level int, title string")
+    assert {(x.d, x.place): x.path for x in anchors.truncated_paths(df, ["d"]).collect()} == want
+    assert {(x.d, x.at): x.m for x in sequences.running_min(spark.createDataFrame([(1, k, [5, 3, None, 4, 2, 9][k]) for k in range(6)], "d int, at int, v int"), ["d"], F.col("at"), F.col("v"), "m", 2).collect()} == {(1, k): [5, 3, 3, 3, 2, 2][k] for k in range(6)}
+
+
+def test_shared_ids(spark):
+    rows = [("a", "1", "x", ""), ("a", "2", "y", ""), ("b", "1", "x", "old"), ("b", "", "y", "source_anchor_collision;z"), ("c", "1", "x", None), ("c", "2", "x", None), ("d", "1", "x", None), (None, "1", "p", None), (None, "2", "q", None)]
+    df = spark.createDataFrame(rows, "id string, r string, v string, notes string")
+    got = sorted((x.id or "-", x.r) for x in identity.distinguished(df, "id", "r", ["v"]).collect())
+    assert got == sorted([(f"a-{sha('x')[:16]}", "1"), (f"a-{sha('y')[:16]}", "2"), ("b", "1"), ("b", ""), ("c", "1"), ("c", "2"), ("d", "1"), ("-", "1"), ("-", "2")])
+    notes = sorted((x.id or "-", x.notes) for x in identity.flagged_collisions(df, "id", "notes").collect())
+    m = "source_anchor_collision"
+    assert notes == sorted([("a", m), ("a", m), ("b", "old;" + m), ("b", m + ";z"), ("c", m), ("c", m), ("-", m), ("-", m)])
+
+
+def test_data_fixes_and_builders(spark):
+    f = [(1, "fix_data", "applied", " r1 ", "value", None, "5", "f1"), (2, "fix_data", "draft", "r1", "value", "set", "6", "f2"), (3, "fix_data", "applied", "r1", "", "set", "6", "f3"), (4, "other", "applied", "r1", "value", "set", "6", "f4"), (5, "fix_data", "applied", "r2", "unit", "rekey", None, "f5")]
+    df = spark.createDataFrame(f, "ord int, review_action string, status string, target_record_id string, target_field string, field_action string, new_value string, fix_id string")
+    assert [tuple(r) for r in identity.data_fixes(df).orderBy("ord").collect()] == [("r1", 1, "value", "amend", "5", "f1"), ("r2", 5, "unit", "rekey", "", "f5")]
+    one = spark.createDataFrame([("pk", [3], "31, 13,13"), ("pk", [7, 8, 12345], " "), ("pk", None, None)], "p string, n array<int>, s string")
+    got = [tuple(r) for r in one.select(identity.table_id("p", "n"), identity.page_list("s")).collect()]
+    assert got == [("pk_table_p0003", [13, 31]), ("pk_table_p0007-p12345", None), ("pk_table_unknown", None)]
+    for bad in ("3,,4", "0", "a", "1.5"):
+        with pytest.raises(Exception, match="pages"):
+            spark.createDataFrame([(bad,)], "s string").select(identity.page_list("s")).collect()
+
+
+def test_export_of_chunks(spark, tmp_path):
+    made = chunking.chunks(spark.createDataFrame([("a", "one two. " * 300), ("b", None)], "k string, t string"), ["k"], "t")
+    assert chunking.export(made, str(tmp_path / "c"), ["k", "chunk_no"]) == made.count() == spark.read.json(str(tmp_path / "c")).count() > 1
+    for bad in (made.unionAll(made), made.withColumn("token_count", F.lit(385)), made.withColumn("content", F.lit(" "))):
+        with pytest.raises(ValueError):
+            chunking.export(bad, str(tmp_path / "d"), ["k", "chunk_no"])
+    assert not (tmp_path / "d").exists()
