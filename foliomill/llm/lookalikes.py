@@ -133,6 +133,12 @@ def _machine() -> tuple:
 
 _BACK_CYRILLIC = {b: a for a, b in LATIN_CYRILLIC.items() if a not in "ѕһԁԛԝіјЅІЈЬ"}
 _HAS_LATIN = re.compile(f"[{_LATIN}]")
+_OTHER_LETTER = re.compile(f"[{_LATIN}{_CYRILLIC}]")
+
+
+def _among_letters(word: str, k: int) -> bool:
+    """Whether two letters of another script stand directly before or behind a sign, as they don't beside the symbol of a unit."""
+    return any(len(x) == 2 and all(_OTHER_LETTER.match(c) for c in x) for x in (word[max(0, k - 2) : k], word[k + 1 : k + 3]))
 
 
 def _one_script(word: str) -> str:
@@ -142,7 +148,7 @@ def _one_script(word: str) -> str:
     if gre.search(word) and latin + other > 0:
         greek = sum(1 for c in word if gre.match(c))
         if latin + other > greek or not any(c in GREEK_SYMBOLS for c in word):
-            word = "".join(LATIN_GREEK.get(c, c) if c not in GREEK_SYMBOLS or len(word) > 4 else c for c in word)
+            word = "".join(LATIN_GREEK.get(c, c) if c not in GREEK_SYMBOLS or _among_letters(word, k) else c for k, c in enumerate(word))
             latin = len(_HAS_LATIN.findall(word))
     if latin and other:
         plain_cyrillic = sum(1 for c in word if cyr.match(c) and c not in LATIN_CYRILLIC)

@@ -136,7 +136,7 @@ def test_split_query(spark):
     [
         ("Sсhwingenlаgerung", "Schwingenlagerung"), ("ｏｕｔｅｒ ２３", "outer 23"), ("Pru\u0308fwerte", "Prüfwerte"), ("a\u200bb\u00a0c\u2009d", "ab c d"), ("\u2ecb主\u2f64", "车主用"), ("ﬁlter", "filter"),
         ("\u041dижняя рама", "Нижняя рама"), ("5 mm² / α，测量（外侧）：kΩ", "5 mm² / α，测量（外侧）：kΩ"), ("Inѕрeсting the рrimаrу", "Inspecting the primary"), ("и\u0306", "й"), ("line\nbreak", "line\nbreak"),
-        (None, None), ("", ""), ("Ignition cοil", "Ignition coil"), ("Αpply", "Apply"),
+        (None, None), ("", ""), ("Ignition cοil", "Ignition coil"), ("Αpply", "Apply"), ("5 kΩ, 3 μm and χ2", "5 kΩ, 3 μm and χ2"), ("teχt", "text"), ("ρump", "pump"), ("χv", "χv"),
     ],
 )
 def test_unify(text, want):
