@@ -77,6 +77,22 @@ def test_thresholds_follow_the_data(spark):
     assert repetition.thresholds(shares.limit(0)).count() == 0
 
 
+def test_found_asks_no_threshold(spark):
+    """The groups' threshold lies above 0.5 and decides in unusual(); p1_found neither follows nor makes one."""
+    part, rest = [f"h{k}" for k in range(20)], [f"r{k}" for k in range(34)]
+    kinds = [" ".join(x) for x in (part * 2 + rest, part * 3 + rest[:15], part * 25)]
+    df = chunks(spark, [t for t in kinds for _ in range(60)] + [" ".join(rest), None, ""])
+    df = df.unionAll(df)
+    shares = repetition.repetition(df, "id", "content", "package_id")
+    assert {round(x["share"], 3) for x in shares.collect()} == {0.0, 0.27, 0.533, 0.96}
+    assert keys(repetition.unusual(shares).select("id")) == [f"M-1A@seq_{k:03d}" for k in range(120, 180)]
+    found = repetition.p1_found(df)
+    assert keys(found) == [f"M-1A@seq_{k:03d}" for k in range(60, 180)]
+    assert keys(found) == keys(shares.where("share >= 0.5").select("id"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert not [w for w in ("Join", "kll", "threshold", "lang", "source") if w in plan], plan
+
+
 # 3 splitting
 
 
